@@ -67,16 +67,16 @@ def one_label(labels: DataFrame, name: str) -> DataFrame:
     return rows.groupBy("doc_id").agg(F.max("y").alias("y"))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int, max_bytes: int, seed: int = 11) -> list[tuple[str, int]]:
-    """At most per_class (text, label) pairs of each class, from labelled texts of at most max_bytes bytes.
+def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: tuple[int, int], max_bytes: int, seed: int = 11) -> list[tuple[str, int]]:
+    """At most per_class[y] (text, y) pairs of each class y, from labelled texts of at most max_bytes bytes.
 
-    The ids are drawn first, by hash order, so that only 2 * per_class ids are broadcast and as many texts
-    collected. The driver receives at most 2 * per_class * max_bytes bytes.
+    The ids are drawn first, by hash order, so that only sum(per_class) ids are broadcast and as many texts
+    collected. The driver receives at most sum(per_class) * max_bytes bytes.
     """
     y = labels.withColumn("h", F.xxhash64("doc_id", F.lit(seed)))
     picked = None
     for value in (0, 1):
-        part = y.where(F.col("y") == value).orderBy("h", "doc_id").limit(per_class)
+        part = y.where(F.col("y") == value).orderBy("h", "doc_id").limit(per_class[value])
         picked = part if picked is None else picked.unionByName(part)
     found = (
         docs.select("doc_id", "text")

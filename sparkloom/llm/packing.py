@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import bisect
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.bpe import ByteBpe, UnitCache
+from sparkloom.llm.bpe import PRE_TOKEN, ByteBpe
 from sparkloom.llm.common import bounded_batches, materialize
 
 WINDOW = 1024
@@ -19,16 +21,22 @@ OPEN = 128
 #: Partitions whose leftover windows are merged in one task: at most MERGED * OPEN windows.
 MERGED = 64
 
-_coders: dict[str, tuple[ByteBpe, UnitCache]] = {}
+#: Texts of more code points are encoded by the segment tree, whose time does not grow with the square of a run.
+LONG_TEXT = 200_000
 
+_coders: dict[str, tuple[ByteBpe, tiktoken.Encoding]] = {}
 
-def _coder(path: str) -> tuple[ByteBpe, UnitCache]:
-    if path not in _coders:
-        from array import array
 
+def _ids(path: str, text: str) -> bytes:
+    """The text's ids as little-endian unsigned 32-bit numbers; strings of special tokens become their ids."""
+    if path not in _coders:
         bpe = ByteBpe(path)
-        _coders[path] = bpe, UnitCache(lambda unit: array("I", bpe.encode_unit(unit)).tobytes())
-    return _coders[path]
+        special = set(bpe.special.values())
+        ranks = {b: i for i, b in bpe.token_bytes.items() if i not in special}
+        _coders[path] = bpe, tiktoken.Encoding(path, pat_str=PRE_TOKEN, mergeable_ranks=ranks, special_tokens=bpe.special)
+    bpe, library = _coders[path]
+    ids = bpe.encode(text) if len(text) > LONG_TEXT else library.encode(text, allowed_special="all")
+    return array("I", ids).tobytes()
 
 
 class OpenWindows:
@@ -73,7 +81,6 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, most_open: int
     bounded_batches(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, cache = _coder(vocabulary)
         pid = TaskContext.get().partitionId()
         end = end_id.to_bytes(4, "little")
         held = OpenWindows(window, most_open)
@@ -82,13 +89,7 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, most_open: int
         for batch in batches:
             cols: list[list] = [[] for _ in names]
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                parts = []
-                for part, special in bpe.segments(text or ""):
-                    parts += cache.of(part)
-                    if special is not None:
-                        parts.append(special.to_bytes(4, "little"))
-                parts.append(end)
-                data = b"".join(parts)
+                data = _ids(vocabulary, text or "") + end
                 total = len(data) // 4
                 for start in range(0, total, window):
                     length = min(window, total - start)

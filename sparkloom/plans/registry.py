@@ -16,3 +16,8 @@ def register(name: str, query: Query, sql: str | None = None) -> None:
     QUERIES[name] = query
     if sql is not None:
         ORACLE[name] = sql
+
+
+def load() -> None:
+    """Import the modules that register queries."""
+    from sparkloom.plans import graph_queries, join_queries, rule_queries, table_queries, text_queries  # noqa: F401

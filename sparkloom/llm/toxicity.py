@@ -28,7 +28,7 @@ FRAME = b" of the and that "
 LEVEL, MIN_MATCH = 6, 4
 #: Differences of that many bytes or more count.
 SAVED = 2
-TOXIC_BYTES, ORDINARY_BYTES = 8192, 8192
+TOXIC_BYTES, ORDINARY_BYTES, NEAR_BYTES = 8192, 8192, 4096
 #: Bounds of the labelled sample: ordinary and toxic texts, and bytes of a text that may be in it.
 PER_CLASS, MAX_BYTES = (5000, 2000), 32768
 THRESHOLD = 0.5
@@ -48,7 +48,9 @@ def _apart(texts: list[bytes]) -> list[bytes]:
     seen: dict[int, list[int]] = defaultdict(list)
     out: list[bytes] = []
     for text in texts:
-        least = sorted({zlib.crc32(w) for w in text.split()})[:24]
+        words = text.split()
+        runs = {zlib.crc32(b" ".join(words[k : k + 3])) for k in range(max(1, len(words) - 2))}
+        least = sorted(runs)[:24]  # equal parts of two texts, not a small vocabulary, give equal ones
         hits = Counter(j for h in least for j in seen[h])
         if hits and 3 * max(hits.values()) >= len(least):
             continue
@@ -59,14 +61,14 @@ def _apart(texts: list[bytes]) -> list[bytes]:
 
 
 def _document_counts(texts: list[bytes], only: set[bytes] | None = None) -> Counter:
-    """Texts that hold each word, or each stem of 4 to 7 bytes that starts a longer word; all start with a space."""
+    """Texts that hold each word, or each stem of 4 to 9 bytes that starts a longer word; all start with a space."""
     counts: Counter = Counter()
     for text in texts:
         found = set()
         for w in windows(text):
             w = w.strip(b".,!?:;\"'()")
             found.add(b" " + w)
-            found.update(b" " + w[:k] for k in range(4, min(8, len(w))))
+            found.update(b" " + w[:k] for k in range(4, min(10, len(w))))
         counts.update(found if only is None else found & only)
     return counts
 
@@ -78,7 +80,7 @@ def _contexts(texts: list[bytes], wanted: set[bytes]) -> Counter:
         words = text.lower().split()
         for k, w in enumerate(words):
             w = w.strip(b".,!?:;\"'()")
-            for c in (b" " + w, *(b" " + w[:n] for n in range(4, min(8, len(w))))):
+            for c in (b" " + w, *(b" " + w[:n] for n in range(4, min(10, len(w))))):
                 if c in wanted:
                     found[c].add(hash((words[k - 1] if k else b"", words[k + 1] if k + 1 < len(words) else b"")))
     return Counter({c: len(v) for c, v in found.items()})
@@ -169,19 +171,24 @@ def _dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> ToxicModel:
         size += len(w)
     common = Counter(b" " + w for text in ordinary[:800] for w in windows(text))
     usual = sorted((w for w, n in common.items() if n >= 2), key=lambda w: (common[w], w))
-    content = b"".join(usual)[-ORDINARY_BYTES:]
-    # Entries whose parts make the windows of ordinary words shorter go again.
-    model = ToxicModel(b"".join(reversed(chosen)), content)
+    front = b"".join(reversed(chosen))
+    model = ToxicModel(front, b"".join(usual)[-ORDINARY_BYTES:])
+    if not chosen:
+        return model
+    # Ordinary words whose windows the toxic entries make shorter are put among the ordinary content, so that only
+    # what sets an entry apart from them still counts; entries that go on to shorten ordinary windows are left out.
+    distinct = {w[1:] for w in common}
+    fired = sorted((w for w, d in zip(distinct, model.saved(distinct)) if d >= SAVED), key=lambda w: (common[b" " + w], w))
+    near = b"".join(b" " + w for w in fired)[-NEAR_BYTES:]
+    model = ToxicModel(front, near + b"".join(usual)[len(near) - ORDINARY_BYTES :])
     blame: Counter = Counter()
-    if chosen:
-        distinct = {w[1:] for w in common}
-        for w, d in zip(distinct, model.saved(distinct)):
-            if d >= SAVED:
-                for c in chosen:
-                    if c not in b" " + w and any(c[k : k + 4] in w for k in range(1, len(c) - 3)):
-                        blame[c] += common[b" " + w]
+    for w, d in zip(distinct, model.saved(distinct)):
+        if d >= SAVED:
+            for c in chosen:
+                if c not in b" " + w and any(c[k : k + 4] in w for k in range(1, len(c) - 3)):
+                    blame[c] += common[b" " + w]
     least = max(3, 0.005 * min(800, len(ordinary)))
-    return ToxicModel(b"".join(c for c in reversed(chosen) if blame[c] < least), content)
+    return ToxicModel(b"".join(c for c in reversed(chosen) if blame[c] < least), model.ordinary)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:

@@ -238,15 +238,17 @@ def record_map(cells: DataFrame, key: list[str], pos: str, header: str, value: s
 
 
 def top_k_similar(queries: DataFrame, q_key: str, q_vec: str, items: DataFrame, i_key: str, i_vec: str, k: int, at_least: float) -> DataFrame:
-    """The k items most similar to each query by exact cosine. The items are counted before they are broadcast;
-    a larger table is dealt over the cluster and each partition's best k are merged."""
-    from sparkloom.operators.joins import small
+    """The k items most similar to each query by exact cosine, for a stated set of queries against all items.
 
-    q = queries.select(q_key, F.col(q_vec).alias("_q"))
-    i = items.select(i_key, F.col(i_vec).alias("_i"))
-    scored = q.join(small(i), F.lit(True)).select(q_key, i_key, cosine("_q", "_i").alias("score")).where(F.col("score") >= at_least)
+    Pairs arise tile by tile (joins.tiles), and only the best k of each query leave a partition.
+    """
+    from sparkloom.operators.joins import tiles
+
+    q = queries.select(F.col(q_key).alias("_qk"), F.col(q_vec).alias("_q"))
+    i = items.select(F.col(i_key).alias("_ik"), F.col(i_vec).alias("_i"))
+    pairs = tiles(q, i, "_qk", "_ik").select(F.col("_qk").alias(q_key), F.col("_ik").alias(i_key), cosine("_q", "_i").alias("score"))
     w = Window.partitionBy(q_key).orderBy(F.desc("score"), i_key)
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return pairs.where(F.col("score") >= at_least).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
 def clusters(pairs: DataFrame, a: str, b: str, most: int = 60) -> DataFrame:

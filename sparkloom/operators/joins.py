@@ -18,6 +18,24 @@ def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def tiles(a: DataFrame, b: DataFrame, a_key: str, b_key: str, most: int | None = None) -> DataFrame:
+    """Each row of a with each row of b, for a stated query set against a table.
+
+    A side of at most `most` rows is broadcast. Of two larger ones, both are dealt by a hash of their key into blocks
+    of about `most` rows, and each block of one meets each block of the other as one key of an equi-join, so no task
+    holds more than two blocks however large the tables are.
+    """
+    most = BROADCAST_ROWS if most is None else most
+    for x, y in ((a, b), (b, a)):
+        if x.limit(most + 1).count() <= most:
+            return y.join(F.broadcast(x), F.lit(True)).select(*a.columns, *b.columns)
+    na, nb = -(-a.count() // most), -(-b.count() // most)
+    deal = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+    x = a.withColumn("_row", deal(a_key, na)).withColumn("_col", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
+    y = b.withColumn("_col", deal(b_key, nb)).withColumn("_row", F.explode(F.sequence(F.lit(0), F.lit(na - 1))))
+    return x.join(y, ["_row", "_col"]).select(*a.columns, *b.columns)
+
+
 def shared_token_pairs(a: DataFrame, a_key: str, b: DataFrame, b_key: str, tokens: str, at_least: float) -> DataFrame:
     """Pairs of different tables that share a token, with the Jaccard similarity of their token sets.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkloom.functions.scalars import cosine, lexical_score, schema_key_score, weighted_score
-from sparkloom.operators.joins import small
+from sparkloom.operators.joins import tiles
 
 
 def context_errors(chunks: DataFrame, document: str = "document_id", chunk: str = "chunk_id") -> DataFrame:
@@ -34,10 +34,10 @@ def document_context(chunks: DataFrame) -> DataFrame:
 def concept_scores(texts: DataFrame, key: list[str], concepts: DataFrame) -> DataFrame:
     """key..., schema, category, exact, score of texts(key, text, terms, keys, embedding) against all concepts.
 
-    The concepts are a dimension of tens of rows, counted before they are broadcast.
+    The concepts are a dimension of tens of rows; they are counted before they are broadcast (joins.tiles).
     """
     c = concepts.select("schema", "name", "category", "examples", F.col("embedding").alias("_vec"))
-    pairs = texts.join(small(c), F.lit(True))
+    pairs = tiles(texts.select(*key, "text", "terms", "keys", "embedding"), c, key[-1], "schema")
     hits = F.size(F.filter("terms", lambda t: F.contains(F.lower("name"), F.lower(t))))
     lexical = lexical_score("text", "name", "examples", F.array("schema"), F.lit(0.0), hits)
     key_score = schema_key_score("keys", F.col("schema"))

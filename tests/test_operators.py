@@ -197,6 +197,18 @@ def test_overlay_inverse_clusters_alignment(spark):
     assert rows(G.align_entities(ents, 0.95), "entity_id", "cluster_id") == [(1, 1), (2, 1), (3, 1), (4, 4)]
 
 
+def test_tiles_and_top_k(spark, monkeypatch):
+    a = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(12)], "q long, v array<double>")
+    b = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(17)], "id long, v array<double>")
+    want = rows(G.top_k_similar(a, "q", "v", b, "id", "v", 3, 0.1), "q", "id", "rank")
+    assert len(want) == 36
+    for most in (14, 5):
+        monkeypatch.setattr(J, "BROADCAST_ROWS", most)
+        assert rows(G.top_k_similar(a, "q", "v", b, "id", "v", 3, 0.1), "q", "id", "rank") == want
+    x, y = a.select("q"), b.select("id")
+    assert rows(J.tiles(x, y, "q", "id", 4), "q", "id") == sorted([(i, j) for i in range(12) for j in range(17)], key=repr)
+
+
 def test_rules(spark):
     c = spark.createDataFrame([(1, "a", 0.94, "dots", True, False, 0), (1, "b", 0.91, "lines", True, False, 1), (1, "a", 0.99, "", True, False, 2), (1, "a", 0.95, "x", True, False, 3), (1, "z", 0.9, "x", True, False, 4)], "u int, lithology string, confidence double, pattern string, in_scope boolean, unresolved boolean, pos int")
     assert rows(R.colour_gates(c, ["u"], ["a", "b"]), "pos", "gate_reason") == [(0, None), (1, None), (2, "missing_pattern_evidence"), (3, "duplicate"), (4, "not_allowed")]

@@ -64,7 +64,7 @@ def sample_words(texts: DataFrame, key: list[str], samples: int = SAMPLES) -> Da
     words = F.array_remove(F.split("text", SPACES), "")
     terms = (
         texts.select(*key, words.alias("words"))
-        .select(*key, "words", F.size("words").cast("double").alias("total"))  # else each word would carry them all
+        .select(*key, "words", F.size("words").alias("total"))  # else each word would carry them all
         .select(*key, "total", F.explode_outer("words").alias("word"))
         .select(*key, "total", F.xxhash64("word").alias("term"))
         .groupBy(*key, "total", "term")
@@ -72,7 +72,7 @@ def sample_words(texts: DataFrame, key: list[str], samples: int = SAMPLES) -> Da
     )
     low = F.col("term").bitwiseAND(F.lit(0xFFFFFFFF))
     terms = terms.select(
-        *key, "term", "weight", "total", F.ln("weight").alias("log_weight"), low.alias("term_bits"), F.lit(1 << 62).bitwiseOR(low).alias("last_key")
+        *key, "term", "weight", F.col("total").cast("double").alias("total"), F.ln("weight").alias("log_weight"), low.alias("term_bits"), F.lit(1 << 62).bitwiseOR(low).alias("last_key")
     )
     best = terms.groupBy(*key).agg(*[F.min(_sample(k)).alias(f"m{k}") for k in range(samples)])
     mask = F.lit((1 << (4 * DIGITS)) - 1)
@@ -123,7 +123,7 @@ def fingerprint_with_neighbours(docs: DataFrame, samples: int = SAMPLES) -> Data
     least = found.least if found.least is not None else 0
     bounds = sorted({c for c in found.cuts or [] if c > least})
     # Each copy of a row has the range it goes to and a rank: 0 its own, 1 the head of the range after, 2 the first row after the last.
-    rows = docs.select("doc_id", key.alias("k"), F.coalesce("text", F.lit("")).alias("text")).withColumn("own", _count_at_most(F.col("k"), bounds))
+    rows = docs.select(key.alias("k"), F.coalesce("text", F.lit("")).alias("text")).withColumn("own", _count_at_most(F.col("k"), bounds))
     copy = lambda at, rank: F.struct(at.cast("int").alias("range"), F.lit(rank).alias("rank"))
     head = F.col("k").isin(bounds) if len(bounds) < 50 else F.array_contains(F.array(*[F.lit(b) for b in bounds]), F.col("k"))
     copies = F.array_compact(
@@ -133,7 +133,7 @@ def fingerprint_with_neighbours(docs: DataFrame, samples: int = SAMPLES) -> Data
             F.when(F.col("k") == F.lit(least), copy(F.lit(len(bounds)), 2)),
         )
     )
-    dealt = rows.select("doc_id", "k", "text", F.explode(copies).alias("c")).select("doc_id", "k", "text", "c.range", "c.rank")
+    dealt = rows.select("k", "text", F.explode(copies).alias("c")).select("k", "text", "c.range", "c.rank")
     order = Window.partitionBy("range").orderBy("rank", "k", "text")
     n = F.char_length("text").cast("long")
     half = F.floor(n / 2).cast("int")
@@ -141,24 +141,25 @@ def fingerprint_with_neighbours(docs: DataFrame, samples: int = SAMPLES) -> Data
         dealt.withColumn("row", F.row_number().over(order))
         .withColumn("next", F.lead("text").over(order))
         .select(
-            "range", "row", "rank", "doc_id", "text", n.alias("n_chars"),
+            "range", "row", "rank", "k", "text", n.alias("n_chars"),
             F.concat(F.substring(F.col("text"), F.lit(1), (n - half).cast("int")), F.substring(F.coalesce("next", F.lit("")), F.lit(1), half)).alias("edited"),
         )
     )
-    # doc_id goes along so that this branch reads the same columns of the shuffle as the other one, and both share it.
     both = placed.select(
-        "range", "row", "doc_id",
+        "range", "row",
         F.explode_outer(
             F.array(F.struct(F.lit(0).alias("kind"), "text"), F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text")))
         ).alias("t"),
-    ).select("range", "row", "doc_id", "t.kind", "t.text")
-    prints = sample_words(both, ["range", "row", "doc_id", "kind"], samples)
-    pairs = prints.groupBy("range", "row").agg(
-        F.max(F.when(F.col("kind") == 0, F.col("fingerprint"))).alias("fingerprint"),
-        F.max(F.when(F.col("kind") == 1, F.col("fingerprint"))).alias("edited_fingerprint"),
+    ).select("range", (F.col("row").cast("long") * 2 + F.col("t.kind")).alias("slot"), "t.text")
+    prints = sample_words(both, ["range", "slot"], samples)
+    pairs = prints.groupBy("range", F.shiftright("slot", 1).cast("int").alias("row")).agg(
+        F.max(F.when(F.col("slot") % 2 == 0, F.col("fingerprint"))).alias("fingerprint"),
+        F.max(F.when(F.col("slot") % 2 == 1, F.col("fingerprint"))).alias("edited_fingerprint"),
     )
     along = pairs.withColumn("next_fingerprint", F.lead("fingerprint").over(Window.partitionBy("range").orderBy("row")))
-    own = placed.where("rank = 0").select("range", "row", "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
+    # Both branches read the same columns of the one shuffle; the id comes back from its order key.
+    doc_id = F.when(F.col("k") != lowest, F.col("k")).cast(docs.schema["doc_id"].dataType).alias("doc_id")
+    own = placed.where("rank = 0").select("range", "row", doc_id, "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
     return own.join(along, ["range", "row"]).select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint"), samples).alias("near_edited"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -173,17 +174,19 @@ def suppress_boxes(boxes: DataFrame, key: list[str], score: str, tie: str, at_le
 
     def keep(k: tuple, df: pd.DataFrame) -> pd.DataFrame:
         df = df.sort_values([score, tie], ascending=[False, True]).reset_index(drop=True)
-        kept: list[int] = []
-        area = (df.x1 - df.x0).clip(lower=0) * (df.y1 - df.y0).clip(lower=0)
+        x0, y0, x1, y1 = (df[c].to_numpy(float) for c in ("x0", "y0", "x1", "y1"))
+        area = (x1 - x0).clip(0) * (y1 - y0).clip(0)
+        kept = np.empty(len(df), int)
+        n = 0
         for i in range(len(df)):
-            for j in kept:
-                w = min(df.x1[i], df.x1[j]) - max(df.x0[i], df.x0[j])
-                h = min(df.y1[i], df.y1[j]) - max(df.y0[i], df.y0[j])
-                least = min(area[i], area[j])
-                if w > 0 and h > 0 and least > 0 and w * h / least >= at_least:
-                    break
-            else:
-                kept.append(i)
-        return df.iloc[kept]
+            j = kept[:n]
+            w = np.minimum(x1[i], x1[j]) - np.maximum(x0[i], x0[j])
+            h = np.minimum(y1[i], y1[j]) - np.maximum(y0[i], y0[j])
+            least = np.minimum(area[i], area[j])
+            over = (w > 0) & (h > 0) & (least > 0)
+            if not (w[over] * h[over] / least[over] >= at_least).any():
+                kept[n] = i
+                n += 1
+        return df.iloc[kept[:n]]
 
     return boxes.groupBy(*key).applyInPandas(keep, boxes.schema)

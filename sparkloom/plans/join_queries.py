@@ -249,7 +249,7 @@ SELECT l_suppkey, min(s) AS s, max(e) AS e FROM g GROUP BY l_suppkey, i
 
 
 def monotone_run(spark: SparkSession, sf: str) -> DataFrame:
-    e = read(spark, sf, "events").where("user_id <= 20").select("user_id", F.col("event_id").alias("pos"), "value")
+    e = read(spark, sf, "events").select("user_id", F.col("event_id").alias("pos"), "value")
     return A.longest_monotone(e, ["user_id"], "pos", "value").groupBy("user_id").agg(F.count("*").alias("n"))
 
 
@@ -257,8 +257,8 @@ register("monotone_run", monotone_run)
 
 
 def nms_boxes(spark: SparkSession, sf: str) -> DataFrame:
-    li = read(spark, sf, "lineitem").where("l_orderkey < 2000")
-    b = li.select((F.col("l_orderkey") % 20).alias("image"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("box_id"), (F.col("l_quantity") * 4).alias("x0"), (F.col("l_tax") * 1000).alias("y0"), F.col("l_extendedprice").alias("score"))
+    li = read(spark, sf, "lineitem")
+    b = li.select(F.floor(F.col("l_orderkey") / 100).alias("image"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("box_id"), (F.col("l_quantity") * 4).alias("x0"), (F.col("l_tax") * 1000).alias("y0"), F.col("l_extendedprice").alias("score"))
     boxes = b.withColumn("x1", F.col("x0") + 60).withColumn("y1", F.col("y0") + 40)
     return A.suppress_boxes(boxes, ["image"], "score", "box_id").select("image", "box_id")
 

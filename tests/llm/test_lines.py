@@ -88,3 +88,37 @@ def test_shuffled_join_gives_the_same(spark, monkeypatch):
     want = run(spark, rows)
     monkeypatch.setattr("sparkloom.llm.lines.BROADCAST_BYTES", -1)
     assert run(spark, rows) == want
+
+
+def longest_shared(a, b):
+    """Tokens of the longest run that both texts have."""
+    a, b = a.split(), b.split()
+    best, last = 0, {}
+    for x in a:
+        now = {j: last.get(j - 1, 0) + 1 for j, y in enumerate(b) if x == y}
+        best = max(best, *now.values()) if now else best
+        last = now
+    return best
+
+
+def test_passages_within_lines_go(spark):
+    rng = random.Random(7)
+    shared = sentence(rng, 52)
+    wrapped = shared.split()
+    rows = [(i, "\n".join([*body(rng, 3), sentence(rng, 10 * i + 7) + " " + shared + " " + sentence(rng, 60), *body(rng, 3)])) for i in range(4)]
+    rows.append((8, "\n".join([*body(rng, 3), *(" ".join(wrapped[k : k + 13]) for k in range(0, 52, 13)), *body(rng, 3)])))
+    rows.append((9, "\n".join([*body(rng, 3), *(" ".join(["x", *wrapped][k : k + 11]) for k in range(0, 53, 11)), *body(rng, 3)])))
+    got = {k[0]: k[1] for k in run(spark, rows)}
+    assert got[0] == rows[0][1]
+    for i, text in rows[1:]:
+        assert longest_shared(rows[0][1], text) >= 52 and longest_shared(got[0], got[i]) <= 11, i
+        kept = iter(text.split())
+        assert all(w in kept for w in got[i].split())
+        assert len(text.split()) - 52 <= len(got[i].split()) <= len(text.split()) - 29
+
+
+def test_shorter_stretches_stay(spark):
+    rng = random.Random(8)
+    shared = sentence(rng, 25)
+    rows = [(i, sentence(rng, 60) + " " + shared + " " + sentence(rng, 60)) for i in range(4)]
+    assert {k[0]: k[1] for k in run(spark, rows)} == dict(rows)

@@ -28,7 +28,7 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: lines of recurring templates go from the text; n_chars follows it."""
-    found = drop_recurring_lines(docs).select(*docs.columns)
+    found = drop_recurring_lines(docs, copy_share=1.0).select(*docs.columns)
     if "n_chars" in docs.columns:
         changed = F.char_length("text").cast(docs.schema["n_chars"].dataType)
         found = found.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(changed))

@@ -26,7 +26,8 @@ MIN_DOCS, MIN_DOCS_SHORT = 2, 10
 #: A shared passage of 51 tokens has at least 51 - 2 * (WINDOW - 1) in such runs, and shorter stretches stay.
 GRAM, WINDOW = 16, 12
 PASSAGE = 51 - 2 * (WINDOW - 1)
-#: A text of whose tokens more than this share would go is a copy as a whole, and is left to document deduplication.
+#: A text of whose tokens more than this share would go is a copy as a whole, and stays. op9_lines and the pipeline set 1:
+#: document deduplication, at 3 bits, would not take most such texts.
 COPY_SHARE = 0.8
 #: Lists of dropped lines are broadcast up to this many bytes, else joined by a shuffle.
 BROADCAST_BYTES = 32 << 20
@@ -217,8 +218,8 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_docs_sho
     docs: any columns, with doc_id and text. Returns the same rows and columns, with the remaining lines as text,
     and n_lines, n_dropped (int; null texts: 0) and dropped_lines (array<int>, from 0, in order). A line stays in
     the documents whose text is that of the smallest doc_id which has the template; null ids come first. A text of
-    which more than copy_share of the tokens would go stays whole: it is a copy, which document deduplication
-    removes. Lines that recur in one document alone stay. Null texts stay null, rows that are repeated are treated
+    which more than copy_share of the tokens would go stays whole: it is a copy, for whoever removes
+    those; with 1 there is no such exemption. Lines that recur in one document alone stay. Null texts stay null, rows that are repeated are treated
     alike, columns of docs that are named like the three new ones are replaced. A passage of more than 50 tokens that
     recurs goes likewise, wherever lines begin and end, but for up to WINDOW - 1 tokens at each end; a line counts as
     dropped only if it goes whole. No text is shuffled unless the

@@ -66,7 +66,7 @@ def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkloom.llm.lines import drop_recurring_lines
 
-    found = drop_recurring_lines(table(spark, sf_dir, "documents"))
+    found = drop_recurring_lines(table(spark, sf_dir, "documents"), copy_share=1.0)
     return found.select("doc_id", "text", "n_lines", "n_dropped", F.array_join("dropped_lines", ",").alias("dropped_lines"))
 
 

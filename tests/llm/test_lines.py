@@ -122,3 +122,17 @@ def test_shorter_stretches_stay(spark):
     shared = sentence(rng, 25)
     rows = [(i, sentence(rng, 60) + " " + shared + " " + sentence(rng, 60)) for i in range(4)]
     assert {k[0]: k[1] for k in run(spark, rows)} == dict(rows)
+
+
+def test_query_and_pipeline_leave_no_loose_copies(spark, tmp_path):
+    import corpus_pipeline
+    from sparkloom.llm.queries import op9_lines
+
+    rng = random.Random(9)
+    shared = sentence(rng, 60)
+    rows = [(i, f"{sentence(rng, 4)}\n{shared}") for i in range(12)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = {i: t if i == 0 else t.split("\n")[0] for i, t in rows}
+    assert {r.doc_id: r.text for r in op9_lines(spark, str(tmp_path)).collect()} == want
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id: r.text for r in corpus_pipeline.drop_lines(spark, docs, str(tmp_path)).collect()} == want

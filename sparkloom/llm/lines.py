@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
@@ -19,9 +19,11 @@ from sparkloom.llm.common import bounded_batches, materialize
 DEPTH = 3
 #: Parts of the tokens behind the leading ones; a template leaves one of them variable.
 FIELDS = 4
-#: Lines of fewer tokens are no templates; those under LONG tokens have no variable part and must recur more often.
+#: Lines of fewer tokens than SHORT count as they are; those under LONG tokens have no variable part. The shorter a line,
+#: the more different texts must have it.
 SHORT, LONG = 4, 8
 MIN_DOCS, MIN_DOCS_SHORT = 2, 10
+MIN_DOCS_TINY = {3: 25, 2: 50, 1: 100}
 #: Passages are seen by runs of GRAM tokens: of WINDOW runs in a row that of the least hash counts, wherever lines end.
 #: A shared passage of 51 tokens has at least 51 - 2 * (WINDOW - 1) in such runs, and shorter stretches stay.
 GRAM, WINDOW = 16, 12
@@ -160,6 +162,8 @@ def line_templates(docs: DataFrame) -> DataFrame:
                 for k, text in enumerate(held, at):
                     for no, line in enumerate((text or b"").split(b"\n")):
                         n, found = templates(line)
+                        if 0 < n < SHORT:
+                            found = [struct.unpack("<q", xxhash.xxh64(b"%d " % n + b" ".join(line.split())).digest()[::-1])[0]]
                         for t in found:
                             rows.append(k)
                             line_no.append(no)
@@ -189,14 +193,17 @@ def recurring(found: DataFrame, min_docs: int = MIN_DOCS, min_docs_short: int =
     Counts are combined before each shuffle, so a line that a third of all documents share is no single task's work.
     """
 
-    def often(rows: DataFrame, least: int) -> DataFrame:
-        if least == 2:  # two different keys: the smallest and the largest differ
+    def often(rows: DataFrame, least: int | Column) -> DataFrame:
+        if isinstance(least, int) and least == 2:  # two different keys: the smallest and the largest differ
             ends = rows.groupBy("template").agg(F.min("text_key").alias("a"), F.max("text_key").alias("b"))
             return ends.where("a <> b").select("template")
-        texts = rows.select("template", "text_key").distinct()
-        return texts.groupBy("template").agg(F.count("*").alias("n")).where(F.col("n") >= least).select("template")
+        texts = rows.select("template", "text_key", "tokens").distinct()
+        return texts.groupBy("template", "tokens").agg(F.count("*").alias("n")).where(F.col("n") >= least).select("template")
 
-    return often(found.where(F.col("tokens") >= LONG), min_docs).unionByName(often(found.where(F.col("tokens") < LONG), min_docs_short))
+    needed = F.lit(min_docs_short)
+    for n, least in MIN_DOCS_TINY.items():
+        needed = F.when(F.col("tokens") == n, F.lit(least)).otherwise(needed)
+    return often(found.where(F.col("tokens") >= LONG), min_docs).unionByName(often(found.where(F.col("tokens") < LONG), needed))
 
 
 def recurring_rows(found: DataFrame, min_docs: int = MIN_DOCS, min_docs_short: int = MIN_DOCS_SHORT) -> DataFrame:

@@ -136,3 +136,13 @@ def test_query_and_pipeline_leave_no_loose_copies(spark, tmp_path):
     assert {r.doc_id: r.text for r in op9_lines(spark, str(tmp_path)).collect()} == want
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
     assert {r.doc_id: r.text for r in corpus_pipeline.drop_lines(spark, docs, str(tmp_path)).collect()} == want
+
+
+def test_shortest_lines_go_when_many_texts_have_them(spark):
+    rng = random.Random(10)
+    lines = {"thanks a lot": 25, "read more": 50, "Menu": 100}
+    for least in (0, 1):
+        rows = [(i, "\n".join([sentence(rng, 20), *(x for x, n in lines.items() if i < n - 1 + least)])) for i in range(120)]
+        got = run(spark, rows)
+        for x, n in lines.items():
+            assert sum(x in r.text.split("\n") for r in got.values()) == (1 if least else n - 1), x

@@ -36,17 +36,17 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7: of each component, one row with the smallest doc_id stays.
+    """Operator 7: of each component, one row with the smallest doc_id stays, rows without an id come last.
 
-    Rows that share that doc_id are told apart by their text and, if that is equal too, are one row in the result;
-    documents without an id are in no component and all stay.
+    Rows that share an id are told apart by their text's hash, each with its own class; those that are equal in both are one row.
     """
-    classes = near_duplicates(docs.where("doc_id IS NOT NULL"))
-    keep = classes.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").join(keep, "doc_id", "left_semi")
-    one = named.groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("_row"))
-    back = one.select(*[F.col("doc_id") if c == "doc_id" else F.col("_row").getField(c).alias(c) for c in docs.columns])
-    return back.unionByName(docs.where("doc_id IS NULL"))
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_key"))
+    classes = near_duplicates(docs.select(key.alias("doc_id"), "text"))
+    keep = classes.where("doc_id = component_id").select("doc_id.id", "doc_id.text_key").distinct()
+    rows = docs.withColumn("_key", F.xxhash64("text"))
+    kept = rows.join(keep, rows["doc_id"].eqNullSafe(keep["id"]) & (rows["_key"] == keep["text_key"]), "left_semi")
+    one = kept.groupBy("doc_id", "_key").agg(F.min(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("_row"))
+    return one.select(*[F.col("doc_id") if c == "doc_id" else F.col("_row").getField(c).alias(c) for c in docs.columns])
 
 
 def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -50,3 +50,12 @@ def test_stages_take_effect(spark, folder):
 def test_run(spark, folder):
     out = corpus_pipeline.run(spark, folder[0])
     assert out.count() > 0 and "sequence_id" in out.columns
+
+
+def test_rows_of_one_id_and_without_id_have_their_own_classes(spark):
+    rng = random.Random(2)
+    a, b, c, d = (prose(rng, 60) for _ in range(4))
+    rows = [(1, a), (2, b), (2, c), (3, c), (None, d), (None, d), (None, a), (4, None), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(((r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()), key=repr)
+    assert kept == sorted([(1, a), (2, b), (2, c), (None, d), (4, None)], key=repr)

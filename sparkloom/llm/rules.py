@@ -21,8 +21,8 @@ SYMBOLS = re.compile(rb"[#*$%&|<>]")
 KEEP_AT = 0.5
 #: Hash buckets of each n-gram family: character 1-, 3- and 4-grams, word 1- and 2-grams.
 BUCKETS, FAMILIES = 1024, 5
-#: Bounds of the labelled sample: texts of each class, and bytes of a text that may be in it.
-PER_CLASS, MAX_BYTES = (1500, 1500), 32768
+#: Bounds of the labelled sample: texts of each class, and code points of a text; longer texts give evenly spread pieces.
+PER_CLASS, MAX_CHARS = (1500, 1500), 32768
 _BASE = 0x100000001B3
 _CONTINUES = bytes(range(0x80, 0xC0))
 
@@ -158,9 +158,9 @@ def fit(sample: list[tuple[str, int]], ridge: float = 1e-4, rounds: int = 200) -
     return RuleModel([float(v) for v in w], float(b), float(slope), float(shift))
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: tuple[int, int] = PER_CLASS, max_bytes: int = MAX_BYTES) -> RuleModel:
-    """fit() on at most per_class[y] labelled texts of class y, of at most max_bytes bytes."""
-    return fit(labelled_sample(docs, one_label(labels, "quality"), per_class, max_bytes))
+def train(docs: DataFrame, labels: DataFrame, per_class: tuple[int, int] = PER_CLASS, max_chars: int = MAX_CHARS) -> RuleModel:
+    """fit() on at most per_class[y] labelled texts of class y, of which max_chars code points count."""
+    return fit(labelled_sample(docs, one_label(labels, "quality"), per_class, max_chars))
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, keep_at: float = KEEP_AT, model: RuleModel | None = None) -> DataFrame:

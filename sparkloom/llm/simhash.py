@@ -2,15 +2,18 @@
 
 A 64-bit fingerprint is embedded as the bit counts of its 32 two-bit segments, written as a thermometer code
 (00, 01, 11), so that the Manhattan distance of two embeddings is the number of bits in which their codes differ.
-It never exceeds the Hamming distance. Fingerprints at Hamming distance 3 or less therefore have, in the upper or
-in the lower 16 segments, a Manhattan distance of 1 or less: all counts of that half agree but for one segment at
-most. The grid has a cell for each half and each segment left out of it; fingerprints that share a cell are
-compared, first by Manhattan distance, then exactly.
+It never exceeds the Hamming distance. The segments are dealt to blocks; of fingerprints at Hamming distance 3 or
+less, all counts agree but in three blocks at most. The grid has a cell for each choice of three blocks that are
+left out and each value of the other counts; fingerprints that share a cell are compared, first by Manhattan
+distance, then exactly. The more fingerprints there are, the more blocks the segments are dealt to, so that a cell
+holds fewer segments' worth of chance neighbours: the number of compared pairs grows about as the input does.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -18,13 +21,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import bounded_batches, materialize
+from sparkloom.llm.common import bounded_batches, drop_materialized, join_counted, materialize
 from sparkloom.llm.components import components
 
 SHINGLE = 3
 DISTANCE = 3
 #: Cells with more fingerprints are not paired; their members are linked through balls, which no size limits.
 CELL_MOST = 2048
+#: (blocks, fingerprints up to which they are used): the cells then hold a quarter of another fingerprint each by chance, as
+#: a two-bit segment's count has 1.4 bits of collision entropy.
+BLOCKS = [(6, 1_500_000), (8, 80_000_000), (12, 1_500_000_000), (16, 1 << 62)]
+SEGMENTS = 32
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -79,47 +86,49 @@ def thermometer(fp: Column) -> Column:
     return any_bit.bitwiseOR(F.shiftleft(both, 1))
 
 
-def _differing(x: Column) -> Column:
-    """Number of segments of a code difference that are not equal."""
-    return F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(_ODD)))
+def block_masks(blocks: int) -> list[int]:
+    """The bits of each block's segments; sizes differ by one at most."""
+    cuts = [SEGMENTS * k // blocks for k in range(blocks + 1)]
+    return [sum(3 << (2 * j) for j in range(a, b)) for a, b in zip(cuts, cuts[1:])]
 
 
-def cells(distinct: DataFrame) -> DataFrame:
-    """(fp, code, cell, half, gap): the 32 grid cells of each fingerprint."""
-    low = F.lit(0xFFFFFFFF)
-    keys = []
-    for half in (0, 1):
-        part = (F.col("code") if half == 0 else F.shiftrightunsigned("code", 32)).bitwiseAND(low)
-        for gap in range(16):
-            masked = part.bitwiseAND(F.lit(0xFFFFFFFF & ~(3 << (2 * gap))))
-            keys.append(F.lit((half * 16 + gap) << 32).bitwiseOR(masked))
+def cells(distinct: DataFrame, blocks: int, distance: int = DISTANCE) -> DataFrame:
+    """(fp, code, cell, gaps): the grid cells of each fingerprint; gaps has a bit for each block that is left out."""
+    masks = block_masks(blocks)
+    every = []
+    for left in combinations(range(blocks), distance):
+        gaps = sum(1 << k for k in left)
+        kept = ((1 << 64) - 1) ^ sum(masks[k] for k in left)
+        cell = F.xxhash64(F.col("code").bitwiseAND(F.lit(_signed(kept))), F.lit(gaps))
+        every.append(F.struct(cell.alias("cell"), F.lit(gaps).alias("gaps")))
     embedded = distinct.select("fp", thermometer(F.col("fp")).alias("code"))
-    return embedded.select("fp", "code", F.explode(F.array(*keys)).alias("cell"))
+    return embedded.select("fp", "code", F.explode(F.array(*every)).alias("c")).select("fp", "code", "c.cell", "c.gaps")
 
 
-def _first_shared(diff: Column, cell: Column) -> Column:
-    """Whether `cell` is the first of the cells that two fingerprints with code difference `diff` share."""
-    place = F.shiftright(cell, 32)
-    half, gap = F.shiftright(place, 4), place.bitwiseAND(F.lit(15)).cast("int")
-    low = diff.bitwiseAND(F.lit(0xFFFFFFFF))
-    high = F.shiftrightunsigned(diff, 32)
-    here = F.when(half == 0, low).otherwise(high)
-    first_gap = F.when(here == 0, gap == 0).otherwise(F.lit(True))
-    return first_gap & ((half == 0) | (_differing(low) > 1))
+def _first_gaps(diff: Column, blocks: int, distance: int) -> Column:
+    """The gaps of one of the cells that two fingerprints with code difference `diff` share: the blocks in which they
+    differ, and the first others."""
+    gaps = reduce(lambda x, y: x.bitwiseOR(y), [F.when(diff.bitwiseAND(F.lit(_signed(m))) != 0, 1 << k).otherwise(0) for k, m in enumerate(block_masks(blocks))])
+    for _ in range(distance):
+        gaps = F.when(F.bit_count(gaps) < distance, gaps.bitwiseOR(gaps + 1)).otherwise(gaps)
+    return gaps
 
 
-def links(distinct: DataFrame, distance: int = DISTANCE, cell_most: int = CELL_MOST) -> DataFrame:
+def links(distinct: DataFrame, distance: int = DISTANCE, cell_most: int = CELL_MOST, blocks: int | None = None) -> DataFrame:
     """Edges (a, b) between different fingerprints whose components are those of all pairs within `distance`.
 
     Pairs of a cell with at most cell_most members are compared in a self-join that returns each true pair once.
     Members of fuller cells are, instead, linked through the balls of radius 1 and 2 around them: two fingerprints
     are within 3 exactly if a point lies in one's ball of radius 1 and the other's of radius 2, so linking all that
-    meet at such a point to one of them gives the same components with a number of rows in proportion.
+    meet at such a point to one of them gives the same components with a number of rows in proportion. blocks: of
+    the segments, by default as the number of fingerprints asks for; the links are the same for any.
     """
     if not 0 <= distance <= 3:
-        raise ValueError("the cells are exact up to a distance of 3")
-    spark = distinct.sparkSession
-    emitted = cells(distinct)
+        raise ValueError("the balls are exact up to a distance of 3")
+    if blocks is None:
+        n = distinct.count()
+        blocks = next(b for b, most in BLOCKS if n <= most)
+    emitted = cells(distinct, blocks, distance)
     counted = materialize(emitted.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1"), "simhash-cells")
     shared = materialize(emitted.join(counted, "cell"), "simhash-shared")
     usual = shared.where(F.col("n") <= cell_most)
@@ -127,16 +136,19 @@ def links(distinct: DataFrame, distance: int = DISTANCE, cell_most: int = CELL_M
     diff = F.col("x.code").bitwiseXOR(F.col("y.code"))
     near = (
         (F.col("x.cell") == F.col("y.cell"))
+        & (F.col("x.gaps") == F.col("y.gaps"))
         & (F.col("x.fp") < F.col("y.fp"))
         & (F.bit_count(diff) <= distance)
         & (F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= distance)
+        & (_first_gaps(diff, blocks, distance) == F.col("x.gaps"))
     )
-    if not counted.where(F.col("n") > cell_most).head(1):
-        near = near & _first_shared(diff, F.col("x.cell"))
-        return x.join(y, near).select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b"))
     pairs = x.join(y, near).select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b"))
-    dense = materialize(shared.where(F.col("n") > cell_most).select("fp").distinct(), "simhash-dense")
-    return pairs.unionByName(ball_links(dense, distance))
+    if counted.where(F.col("n") > cell_most).head(1):
+        dense = materialize(shared.where(F.col("n") > cell_most).select("fp").distinct(), "simhash-dense")
+        pairs = pairs.unionByName(ball_links(dense, distance))
+    found = materialize(pairs, "simhash-links")
+    drop_materialized(counted, shared)
+    return found
 
 
 def ball_links(dense: DataFrame, distance: int = DISTANCE) -> DataFrame:
@@ -169,15 +181,18 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
 
     docs: doc_id, text, further columns are not read. Returns doc_id, fp long, component_id: one row for each row
     of docs; component_id is the smallest doc_id of the class (null if all its ids are null). Null, empty and
-    blank texts have fingerprint 0, linked like any other. Exact copies are one fingerprint before any pairing.
+    blank texts have fingerprint 0, linked like any other. Exact copies are one fingerprint before any pairing;
+    repeated rows are rows of one class. Very long texts are hashed whole.
     An empty table gives no rows. Fingerprints and links are written to the shared folder.
     """
     prints = materialize(fingerprints(docs, shingle), "simhash-prints")
-    own = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("own")), "simhash-distinct")
-    comps = components(links(own.select("fp"), distance, cell_most), "a", "b")
+    own = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("own"), F.count("*").alias("n")), "simhash-distinct")
+    near = links(own.select("fp"), distance, cell_most)
+    comps = components(near, "a", "b")
     linked = materialize(comps.withColumnRenamed("node", "fp").join(own, "fp"), "simhash-linked")
-    smallest = linked.groupBy("root").agg(F.min("own").alias("component"))
-    classes = own.join(linked.join(smallest, "root").select("fp", "component"), "fp", "left").select(
-        "fp", F.coalesce("component", "own").alias("component_id")
-    )
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    drop_materialized(near)
+    smallest = materialize(linked.groupBy("root").agg(F.min("own").alias("component"), F.count("*").alias("m")), "simhash-smallest")
+    named = join_counted(linked, smallest, "root", "m").select("fp", "component")
+    classes = materialize(own.join(named, "fp", "left").select("fp", F.coalesce("component", "own").alias("component_id"), "n"), "simhash-classes")
+    drop_materialized(linked, smallest, own)
+    return join_counted(prints, classes, "fp", "n").select("doc_id", "fp", "component_id")

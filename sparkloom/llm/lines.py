@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from sparkloom.llm.common import bounded_batches, materialize
+from sparkloom.llm.common import bounded_batches, drop_materialized, join_counted, materialize
 
 #: Levels of the tree below the token count: leading tokens of which each has a node.
 DEPTH = 3
@@ -188,17 +188,17 @@ def line_templates(docs: DataFrame) -> DataFrame:
 
 
 def recurring(found: DataFrame, min_docs: int = MIN_DOCS, min_docs_short: int = MIN_DOCS_SHORT) -> DataFrame:
-    """(template): those in at least as many different texts; exact copies of a text count once.
+    """(template, n): those in at least as many different texts, and their rows; exact copies of a text count once.
 
     Counts are combined before each shuffle, so a line that a third of all documents share is no single task's work.
     """
 
     def often(rows: DataFrame, least: int | Column) -> DataFrame:
         if isinstance(least, int) and least == 2:  # two different keys: the smallest and the largest differ
-            ends = rows.groupBy("template").agg(F.min("text_key").alias("a"), F.max("text_key").alias("b"))
-            return ends.where("a <> b").select("template")
-        texts = rows.select("template", "text_key", "tokens").distinct()
-        return texts.groupBy("template", "tokens").agg(F.count("*").alias("n")).where(F.col("n") >= least).select("template")
+            ends = rows.groupBy("template").agg(F.min("text_key").alias("a"), F.max("text_key").alias("b"), F.count("*").alias("n"))
+            return ends.where("a <> b").select("template", "n")
+        texts = rows.groupBy("template", "text_key", "tokens").agg(F.count("*").alias("k"))
+        return texts.groupBy("template", "tokens").agg(F.count("*").alias("texts"), F.sum("k").alias("n")).where(F.col("texts") >= least).select("template", "n")
 
     needed = F.lit(min_docs_short)
     for n, least in MIN_DOCS_TINY.items():
@@ -214,9 +214,11 @@ def recurring_rows(found: DataFrame, min_docs: int = MIN_DOCS, min_docs_short: i
     """
     often = materialize(recurring(found, min_docs, min_docs_short), "line-recurring")
     small = often.count() * 24 <= BROADCAST_BYTES
-    hits = materialize(found.join(F.broadcast(often) if small else often, "template"), "line-hits")
-    owners = hits.groupBy("template").agg(F.min(F.struct("doc_id", "text_key")).getField("text_key").alias("owner"))
-    return hits.join(F.broadcast(owners) if small else owners, "template")
+    hits = materialize(found.join(F.broadcast(often), "template") if small else join_counted(found, often, "template", "n").withColumn("n", F.lit(0).cast("long")), "line-hits").drop("n")
+    owners = hits.groupBy("template").agg(F.min(F.struct("doc_id", "text_key")).getField("text_key").alias("owner"), F.count("*").alias("n"))
+    if small:
+        return hits.join(F.broadcast(owners.drop("n")), "template")
+    return join_counted(hits, materialize(owners, "line-owners"), "template", "n")
 
 
 def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_docs_short: int = MIN_DOCS_SHORT, copy_share: float = COPY_SHARE) -> DataFrame:
@@ -230,7 +232,7 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_docs_sho
     alike, columns of docs that are named like the three new ones are replaced. A passage of more than 50 tokens that
     recurs goes likewise, wherever lines begin and end, but for up to WINDOW - 1 tokens at each end; a line counts as
     dropped only if it goes whole. No text is shuffled unless the
-    lists of dropped lines exceed BROADCAST_BYTES.
+    lists of dropped lines exceed BROADCAST_BYTES. An empty table gives no rows; very long texts are read whole.
     """
     bounded_batches(docs.sparkSession)
     found = materialize(line_templates(docs), "line-templates")
@@ -242,11 +244,13 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_docs_sho
         .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "_gone", "_runs")
     )
     gone = materialize(gone, "line-drops")
+    drop_materialized(found)
     n_bytes = gone.agg(F.sum((F.size("_gone") + F.size("_runs")) * 4 + 80)).first()[0] or 0
     side = F.broadcast(gone) if n_bytes <= BROADCAST_BYTES else gone
     base = docs.drop("n_lines", "n_dropped", "dropped_lines")
     names = base.columns
-    joined = base.join(side, base["doc_id"].eqNullSafe(side["_id"]) & (F.xxhash64(base["text"]) == side["_key"]), "left").select(*[base[c] for c in names], "_gone", "_runs")
+    spare = "_" * (1 + max(map(len, names)))  # no column of docs starts like that
+    joined = base.join(side, base["doc_id"].eqNullSafe(side["_id"]) & (F.xxhash64(base["text"]) == side["_key"]), "left").select(*[base[c] for c in names], side["_gone"].alias(spare + "g"), side["_runs"].alias(spare + "r"))
     at = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

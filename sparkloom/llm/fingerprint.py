@@ -12,7 +12,8 @@ SAMPLES, DIGITS = 64, 4
 #: White space between words (fixed values): space and U+0009 to U+000D.
 SPACES = "[\\x20\\x09-\\x0D]+"
 #: A term whose sample exceeds, for certain, this multiple of the expected smallest one is not worked out further.
-BOUND = 10.0
+#: exp(-BOUND) of all samples, 1 in 480 million, have no term below it and are the least term, equal for equal texts.
+BOUND = 20.0
 
 _M = (1 << 21) - 1
 _U = 1.0 / (1 << 21)
@@ -23,7 +24,7 @@ def _uniform(bits: Column) -> Column:
     return (bits.bitwiseAND(F.lit(_M)).cast("double") + F.lit(0.5)) * F.lit(_U)
 
 
-def _sample(k: int) -> Column:
+def _sample(k: int, bound: float | None = BOUND) -> Column:
     """The k-th sample's key for a row (term long, weight, log_weight, total): the text's smallest key is its sample.
 
     A gamma variate r = -ln(u1 u2), another one c = -ln(u3 u4) and a uniform b depend on term and k alone. With
@@ -34,7 +35,7 @@ def _sample(k: int) -> Column:
     exp(value) is at least (1 - u3 u4) u1 u2 / weight, and for weight 1 at least (1 - u3 u4) u / (s + (1 - s) u)
     with u = u1 u2 and s = 1 - b, while the smallest of a text is exponential with mean 1 / total. Terms whose
     bound exceeds BOUND / total get a key above all others without a logarithm; that all terms of a text do, and
-    its sample is then the least term, happens once in exp(BOUND) samples.
+    its sample is then the least term, happens once in exp(BOUND) samples. With bound None all terms are worked out.
     """
     h = F.xxhash64(F.col("term").bitwiseXOR(F.lit(_odd(2 * k))))
     g = F.xxhash64(F.col("term").bitwiseXOR(F.lit(_odd(2 * k + 1))))
@@ -45,8 +46,10 @@ def _sample(k: int) -> Column:
     t = F.when(F.col("weight") == 1, F.lit(0.0)).otherwise(F.floor(F.col("log_weight") / r + b).cast("double"))
     value = F.ln(-F.ln(F.lit(1.0) - rest)) - r * (t - b + 1)
     key = F.shiftleft(((value + F.lit(128.0)) * F.lit(float(1 << 22))).cast("long"), 32).bitwiseOR(F.col("term_bits"))
-    one = u * (rest * F.col("total") - F.lit(BOUND) * b) <= F.lit(BOUND) * (F.lit(1.0) - b)  # the above, with u once
-    more = rest * u * F.col("total") <= F.lit(BOUND) * F.col("weight")
+    if bound is None:
+        return key
+    one = u * (rest * F.col("total") - F.lit(bound) * b) <= F.lit(bound) * (F.lit(1.0) - b)  # the above, with u once
+    more = rest * u * F.col("total") <= F.lit(bound) * F.col("weight")
     return F.when(F.when(F.col("weight") == 1, one).otherwise(more), key).otherwise(F.col("last_key"))
 
 
@@ -56,7 +59,7 @@ def _odd(k: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def sample_words(texts: DataFrame, key: list[str], samples: int = SAMPLES) -> DataFrame:
+def sample_words(texts: DataFrame, key: list[str], samples: int = SAMPLES, bound: float | None = BOUND) -> DataFrame:
     """key columns and fingerprint (string), for each row of texts(key..., text); no word counts as one empty word.
 
     texts must be partitioned by some of the key, whose values are unique: then no aggregation shuffles.
@@ -74,7 +77,7 @@ def sample_words(texts: DataFrame, key: list[str], samples: int = SAMPLES) -> Da
     terms = terms.select(
         *key, "term", "weight", F.col("total").cast("double").alias("total"), F.ln("weight").alias("log_weight"), low.alias("term_bits"), F.lit(1 << 62).bitwiseOR(low).alias("last_key")
     )
-    best = terms.groupBy(*key).agg(*[F.min(_sample(k)).alias(f"m{k}") for k in range(samples)])
+    best = terms.groupBy(*key).agg(*[F.min(_sample(k, bound)).alias(f"m{k}") for k in range(samples)])
     mask = F.lit((1 << (4 * DIGITS)) - 1)
     hexes = [F.lpad(F.lower(F.hex(F.xxhash64(f"m{k}").bitwiseAND(mask))), DIGITS, "0") for k in range(samples)]
     return best.select(*key, F.concat(*hexes).alias("fingerprint"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkloom.functions.scalars import clean_name, cosine, stable_id
-from sparkloom.sources.scratch import store
+from sparkloom.sources.scratch import drop, store
 
 
 def merge_last(df: DataFrame, key: list[str], seq: str, values: list[str]) -> DataFrame:
@@ -178,9 +178,11 @@ def relation_rejects(relations: DataFrame, entities: DataFrame, entity: str, sou
 def repair_context(relations: DataFrame, lithologies: DataFrame) -> DataFrame:
     """dolomitizes relations whose target is a unit go to the longest lithology that their context names; a
     source rock's source_rock_of becomes generates. repaired tells which changed."""
-    l = lithologies.select(F.col("lithology_id"), F.col("name").alias("_name"))
+    from sparkloom.operators.joins import contained_terms
+
     broken = relations.where("type = 'dolomitizes' AND target_type = 'unit'")
-    best = broken.join(l, F.contains(broken["context"], l["_name"])).groupBy("relation_id").agg(F.max_by("lithology_id", F.struct(F.length("_name"), "lithology_id")).alias("_l"))
+    named = contained_terms(broken, "relation_id", "context", lithologies, "lithology_id", "name").join(lithologies.select("lithology_id", F.length("name").alias("_n")), "lithology_id")
+    best = named.groupBy("relation_id").agg(F.max_by("lithology_id", F.struct("_n", "lithology_id")).alias("_l"))
     out = relations.join(best, "relation_id", "left")
     rock = (F.col("type") == "source_rock_of") & (F.col("source_type") == "source_rock")
     return out.select(
@@ -251,19 +253,19 @@ def top_k_similar(queries: DataFrame, q_key: str, q_vec: str, items: DataFrame,
     return pairs.where(F.col("score") >= at_least).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def clusters(pairs: DataFrame, a: str, b: str, most: int = 60) -> DataFrame:
-    """node, cluster_id: the smallest node that links lead to. Labels are halved along by pointer jumping."""
+def clusters(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    """node, cluster_id: the smallest node that links lead to. Labels are halved along by pointer jumping, until none changes."""
     both = store(pairs.select(F.col(a).alias("x"), F.col(b).alias("y")).unionByName(pairs.select(F.col(b).alias("x"), F.col(a).alias("y"))).distinct())
     label = store(both.groupBy("x").agg(F.least(F.min("x"), F.min("y")).alias("l")))
-    for _ in range(most):
+    while True:
         near = both.join(label.select(F.col("x").alias("y"), F.col("l").alias("m")), "y").groupBy("x").agg(F.min("m").alias("m"))
         step = label.join(near, "x").select("x", F.least("l", "m").alias("l"))
         jump = step.join(label.select(F.col("x").alias("l"), F.col("l").alias("ll")), "l", "left").select("x", F.least("l", F.coalesce("ll", "l")).alias("l"))
         now = store(jump)
         if not now.exceptAll(label).head(1):
             return now.select(F.col("x").alias("node"), F.col("l").alias("cluster_id"))
+        drop(label)
         label = now
-    return label.select(F.col("x").alias("node"), F.col("l").alias("cluster_id"))
 
 
 def align_entities(entities: DataFrame, at_least: float) -> DataFrame:

@@ -9,25 +9,37 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-#: Rows up to which a dimension is broadcast after it has been counted.
-BROADCAST_ROWS = 50_000
+#: Rows and bytes up to which a dimension is broadcast after both have been counted.
+BROADCAST_ROWS, BROADCAST_BYTES = 50_000, 32 << 20
+
+
+def fits(df: DataFrame, most: int = BROADCAST_ROWS) -> bool:
+    """Whether df has at most `most` rows and BROADCAST_BYTES bytes; one pass over at most `most` + 1 rows tells."""
+    def size(name: str, kind: str) -> Column:
+        if kind in ("string", "binary"):
+            return F.octet_length(name)
+        return F.size(name) * 16 if kind.startswith(("array", "map")) else F.lit(16)
+
+    row = sum((F.coalesce(size(n, k), F.lit(0)) + 16 for n, k in df.dtypes), F.lit(0)).cast("long")
+    n, size_ = df.limit(most + 1).agg(F.count("*"), F.sum(row)).first()
+    return n <= most and (size_ or 0) <= BROADCAST_BYTES
 
 
 def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if it has at most `most` rows, which one limited count decides; else df itself."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+    """df with a broadcast hint if it fits, else df itself."""
+    return F.broadcast(df) if fits(df, most) else df
 
 
 def tiles(a: DataFrame, b: DataFrame, a_key: str, b_key: str, most: int | None = None) -> DataFrame:
     """Each row of a with each row of b, for a stated query set against a table.
 
-    A side of at most `most` rows is broadcast. Of two larger ones, both are dealt by a hash of their key into blocks
+    A side that fits `most` rows and BROADCAST_BYTES is broadcast. Of two larger ones, both are dealt by a hash of their key into blocks
     of about `most` rows, and each block of one meets each block of the other as one key of an equi-join, so no task
     holds more than two blocks however large the tables are.
     """
     most = BROADCAST_ROWS if most is None else most
     for x, y in ((a, b), (b, a)):
-        if x.limit(most + 1).count() <= most:
+        if fits(x, most):
             return y.join(F.broadcast(x), F.lit(True)).select(*a.columns, *b.columns)
     na, nb = -(-a.count() // most), -(-b.count() // most)
     deal = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
@@ -50,10 +62,21 @@ def shared_token_pairs(a: DataFrame, a_key: str, b: DataFrame, b_key: str, token
 
 
 def contained_terms(texts: DataFrame, key: str, text: str, terms: DataFrame, term_key: str, term: str) -> DataFrame:
-    """(key, term_key) for each term that a text contains; the terms are a small dimension, counted before it is sent."""
+    """(key, term_key) for each term that a text contains.
+
+    Terms that fit are broadcast. More of them are joined on their first characters, as many as the shortest term has and
+    four at most, with the runs of so many characters of each text; what begins alike is then compared as a whole.
+    """
     t = texts.select(key, F.col(text).alias("_text"))
     d = terms.select(term_key, F.col(term).alias("_term")).where("_term <> ''")
-    return t.join(small(d), F.contains(F.col("_text"), F.col("_term"))).select(key, term_key)
+    if fits(d):
+        return t.join(F.broadcast(d), F.contains(F.col("_text"), F.col("_term"))).select(key, term_key)
+    k = min(4, d.agg(F.min(F.char_length("_term"))).first()[0])
+    starts = F.sequence(F.lit(1), F.char_length("_text") - (k - 1))
+    runs = F.array_distinct(F.transform(starts, lambda i: F.substring(F.col("_text"), i, F.lit(k))))
+    begun = t.where(F.char_length("_text") >= k).withColumn("_run", F.explode(runs))
+    found = begun.join(d.withColumn("_run", F.substring("_term", 1, k)), "_run")
+    return found.where(F.contains(F.col("_text"), F.col("_term"))).select(key, term_key)
 
 
 def consume_once(left: DataFrame, right: DataFrame, group: list[str], name: list[str], pos: str, values: list[str]) -> DataFrame:

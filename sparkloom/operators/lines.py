@@ -105,10 +105,11 @@ def sections(lines: DataFrame, key: str) -> DataFrame:
 def section_parents(found: DataFrame, key: str) -> DataFrame:
     """parent_no: the last earlier section of a smaller level, null for a top one.
 
-    Levels are 1 to 6 in Markdown, so the last section of each smaller level is a window of its own.
+    The last section of each smaller level is a window value of its own; the deepest level is asked for first.
     """
+    deepest = found.agg(F.max("level")).first()[0] or 1
     w = Window.partitionBy(key).orderBy("section_no").rowsBetween(Window.unboundedPreceding, -1)
-    last = [F.last(F.when(F.col("level") == k, F.col("section_no")), ignorenulls=True).over(w) for k in range(1, 13)]
+    last = [F.last(F.when(F.col("level") == k, F.col("section_no")), ignorenulls=True).over(w) for k in range(1, max(3, deepest))]
     above = [F.when(F.lit(k) < F.col("level"), c) for k, c in enumerate(last, 1)]
     return found.withColumn("parent_no", F.greatest(*above))
 

@@ -96,9 +96,11 @@ def explicitness(evidence: Column, kind: Column, explicit: Column) -> Column:
 
 def label_lithology(labels: DataFrame, key: str, label: str, dictionary: DataFrame) -> DataFrame:
     """The lithology of highest priority that a unit's label names, with confidence .99."""
-    d = dictionary.select("term", "lithology", "priority")
-    hit = labels.join(d, F.contains(F.lower(labels[label]), d["term"])).groupBy(key).agg(F.min_by("lithology", F.struct("priority", "term")).alias("lithology"))
-    return hit.withColumn("confidence", F.lit(0.99))
+    from sparkloom.operators.joins import contained_terms
+
+    found = contained_terms(labels.select(key, F.lower(label).alias("_label")), key, "_label", dictionary.withColumn("_term", F.col("term")), "_term", "term")
+    named = found.join(dictionary.select(F.col("term").alias("_term"), "lithology", "priority"), "_term")
+    return named.groupBy(key).agg(F.min_by("lithology", F.struct("priority", "_term")).alias("lithology")).withColumn("confidence", F.lit(0.99))
 
 
 def first_reason(*gates: tuple[Column, str]) -> Column:

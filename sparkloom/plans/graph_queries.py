@@ -81,14 +81,14 @@ SELECT source AS graph_group, CASE WHEN count(DISTINCT doc_id) = 1 THEN min(doc_
 
 
 def dangling_refs(spark: SparkSession, sf: str) -> DataFrame:
-    lines = read(spark, sf, "lineitem").where("l_linenumber <= 3")
+    lines = read(spark, sf, "lineitem")
     parts = read(spark, sf, "part").where("p_size < 45")
     return G.dangling(lines, ["l_partkey"], parts, "p_partkey", ["l_orderkey", "l_linenumber"])
 
 
 register("dangling_refs", dangling_refs, """
 SELECT l_orderkey, l_linenumber, 'l_partkey' AS "end", CAST(l_partkey AS VARCHAR) AS ref FROM lineitem
-WHERE l_linenumber <= 3 AND l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size < 45)
+WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size < 45)
 """)
 
 
@@ -268,16 +268,17 @@ SELECT node, path FROM p
 
 
 def bottom_up_fold(spark: SparkSession, sf: str) -> DataFrame:
-    t = _tree(spark, sf).where("node NOT LIKE 'o%'")
+    t = _tree(spark, sf)
     summed = H.bottom_up(t, ["tree"], "node", "parent", "ord", F.col("node"), lambda own, kids: F.concat(own, F.lit("("), F.size(kids).cast("string"), F.lit(":"), F.substring(F.md5(F.array_join(kids, "").cast("binary")), 1, 6), F.lit(")")), "empty")
     return summed.select("node", "summary")
 
 
 register("bottom_up_fold", bottom_up_fold, f"""
-WITH {_TREE}, c AS (SELECT node, parent, ord, node || '(0:' || substr(md5(''), 1, 6) || ')' AS s FROM t WHERE node LIKE 'c%'),
+WITH {_TREE}, o AS (SELECT node, parent, ord, node || '(0:' || substr(md5(''), 1, 6) || ')' AS s FROM t WHERE node LIKE 'o%'),
+c AS (SELECT t.node, t.parent, t.ord, t.node || '(' || count(o.node) || ':' || substr(md5(coalesce(string_agg(o.s, '' ORDER BY o.ord), '')), 1, 6) || ')' AS s FROM t LEFT JOIN o ON o.parent = t.node WHERE t.node LIKE 'c%' GROUP BY t.node, t.parent, t.ord),
 n AS (SELECT t.node, t.parent, t.ord, t.node || '(' || count(c.node) || ':' || substr(md5(coalesce(string_agg(c.s, '' ORDER BY c.ord), '')), 1, 6) || ')' AS s FROM t LEFT JOIN c ON c.parent = t.node WHERE t.node LIKE 'n%' GROUP BY t.node, t.parent, t.ord),
 r AS (SELECT t.node, t.node || '(' || count(n.node) || ':' || substr(md5(coalesce(string_agg(n.s, '' ORDER BY n.ord), '')), 1, 6) || ')' AS s FROM t LEFT JOIN n ON n.parent = t.node WHERE t.node LIKE 'r%' GROUP BY t.node)
-SELECT node, s AS summary FROM c UNION ALL SELECT node, s FROM n UNION ALL SELECT node, s FROM r
+SELECT node, s AS summary FROM o UNION ALL SELECT node, s FROM c UNION ALL SELECT node, s FROM n UNION ALL SELECT node, s FROM r
 """)
 
 
@@ -359,19 +360,19 @@ WITH {_EDGES} SELECT src, CASE WHEN rel = 'works_in' THEN NULL ELSE rel END AS r
 
 
 def unpivot_record(spark: SparkSession, sf: str) -> DataFrame:
-    li = read(spark, sf, "lineitem").where("l_orderkey % 10 = 0")
+    li = read(spark, sf, "lineitem")
     pairs = F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(c).alias("header"), F.col(c).alias("value")) for i, c in enumerate(["l_quantity", "l_extendedprice", "l_discount", "l_tax"])])
     return li.select("l_orderkey", "l_linenumber", F.explode(pairs).alias("p")).select("l_orderkey", "l_linenumber", "p.header", "p.value")
 
 
 register("unpivot_record", unpivot_record, """
-SELECT l_orderkey, l_linenumber, header, value FROM (SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem WHERE l_orderkey % 10 = 0)
+SELECT l_orderkey, l_linenumber, header, value FROM (SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem)
 UNPIVOT (value FOR header IN (l_quantity, l_extendedprice, l_discount, l_tax))
 """)
 
 
 def _cells(spark: SparkSession, sf: str) -> DataFrame:
-    s = read(spark, sf, "supplier").where("s_suppkey <= 50")
+    s = read(spark, sf, "supplier")
     cols = F.array(*[F.struct(F.lit(i).alias("col"), F.lit(c).alias("header"), F.col(c).cast("string").alias("text")) for i, c in enumerate(["s_name", "s_nationkey"])])
     return s.select(F.lit("t1").alias("table_id"), (F.col("s_suppkey") - 1).cast("int").alias("row"), F.explode(cols).alias("c")).select("table_id", "row", "c.col", "c.header", "c.text")
 
@@ -382,7 +383,7 @@ def cell_edges(spark: SparkSession, sf: str) -> DataFrame:
 
 
 register("cell_edges", cell_edges, """
-WITH s AS (SELECT s_suppkey FROM supplier WHERE s_suppkey <= 50), n AS (SELECT count(*) AS n FROM s)
+WITH s AS (SELECT s_suppkey FROM supplier), n AS (SELECT count(*) AS n FROM s)
 SELECT 'HAS_ROW' AS type, n AS n, 1 AS sources, n AS targets FROM n UNION ALL SELECT 'HAS_COLUMN', 2, 1, 2
 UNION ALL SELECT 'HAS_HEADER', 2, 2, 2 UNION ALL SELECT 'HAS_CELL', 2 * n, n, 2 * n FROM n UNION ALL SELECT 'IN_COLUMN', 2 * n, 2 * n, 2 FROM n
 """)
@@ -394,22 +395,24 @@ def record_maps(spark: SparkSession, sf: str) -> DataFrame:
 
 
 register("record_maps", record_maps, """
-SELECT CAST(s_suppkey - 1 AS INTEGER) AS row, s_name AS name, CAST(s_nationkey AS VARCHAR) AS nation, 2 AS n FROM supplier WHERE s_suppkey <= 50
+SELECT CAST(s_suppkey - 1 AS INTEGER) AS row, s_name AS name, CAST(s_nationkey AS VARCHAR) AS nation, 2 AS n FROM supplier
 """)
 
 
 def guarded_updates(spark: SparkSession, sf: str) -> DataFrame:
-    e = read(spark, sf, "customer").select(F.col("c_custkey").alias("entity_id"), F.col("c_mktsegment").alias("name")).where("entity_id <= 100")
-    one = read(spark, sf, "customer").where("c_custkey <= 3").select(F.col("c_custkey").alias("instr_id"), F.col("c_mktsegment").alias("name"), F.lit("merge").alias("action"), F.lit(2).alias("least"))
-    two = spark.createDataFrame([(100, "nobody", "update", None)], "instr_id long, name string, action string, least int")
+    name = F.concat_ws(" ", "c_mktsegment", F.col("c_nationkey").cast("string"), F.floor(F.col("c_acctbal") / 1000).cast("string"))
+    c = read(spark, sf, "customer").select("c_custkey", name.alias("name"))
+    e = c.select(F.col("c_custkey").alias("entity_id"), "name")
+    one = c.select(F.col("c_custkey").alias("instr_id"), "name", F.lit("merge").alias("action"), F.lit(2).alias("least"))
+    two = spark.createDataFrame([(-1, "nobody", "update", None)], "instr_id long, name string, action string, least int")
     out = G.guarded_corrections(one.unionByName(two), e)
     return out.select("instr_id", "matches", "applied", "reason", F.size("entity_ids").alias("n"))
 
 
 register("guarded_updates", guarded_updates, """
-WITH m AS (SELECT c_mktsegment AS name, count(*) AS k FROM customer WHERE c_custkey <= 100 GROUP BY 1)
-SELECT c_custkey AS instr_id, k AS matches, k >= 2 AS applied, CASE WHEN k < 2 THEN 'match_count' END AS reason, CAST(k AS INTEGER) AS n FROM customer JOIN m ON m.name = c_mktsegment WHERE c_custkey <= 3
-UNION ALL SELECT 100, 0, false, 'no_match', 0
+WITH c AS (SELECT c_custkey, c_mktsegment || ' ' || c_nationkey || ' ' || CAST(floor(c_acctbal / 1000) AS BIGINT) AS name FROM customer), m AS (SELECT name, count(*) AS k FROM c GROUP BY 1)
+SELECT c_custkey AS instr_id, k AS matches, k >= 2 AS applied, CASE WHEN k < 2 THEN 'match_count' END AS reason, CAST(k AS INTEGER) AS n FROM c JOIN m USING (name)
+UNION ALL SELECT -1, 0, false, 'no_match', 0
 """)
 
 

@@ -59,14 +59,14 @@ SELECT label, round(avg(score), 6) AS score, count(*) AS n FROM r WHERE rk <= 3
 
 
 def weighted_score(spark: SparkSession, sf: str) -> DataFrame:
-    li = read(spark, sf, "lineitem").where("l_orderkey % 20 = 0")
+    li = read(spark, sf, "lineitem")
     key = F.when(F.col("l_returnflag") == "R", F.lit(0.9)).otherwise(F.lit(0.0))
     return li.select("l_orderkey", "l_linenumber", F.round(S.weighted_score(F.col("l_discount") * 10, F.col("l_tax") * 10, key), 6).alias("score"))
 
 
 register("weighted_score", weighted_score, """
 SELECT l_orderkey, l_linenumber, round(CASE WHEN l_returnflag = 'R' THEN (l_discount * 10 * 0.5 + l_tax * 10 * 0.25 + 0.9 * 0.25) / 1.0 ELSE (l_discount * 10 * 0.5 + l_tax * 10 * 0.25) / 0.75 END, 6) AS score
-FROM lineitem WHERE l_orderkey % 20 = 0
+FROM lineitem
 """)
 
 
@@ -224,11 +224,11 @@ SELECT user_id, min_by(CASE WHEN event_type = 'purchase' THEN event_type ELSE ''
 
 
 def reference_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    return A.reference_rollup(read(spark, sf, "conversations"), ["conv_id"], "turn", "text", 20, 60).select("conv_id", F.md5(F.col("references").cast("binary")).alias("refs_md5"))
+    return A.reference_rollup(read(spark, sf, "conversations"), ["conv_id"], "turn", "text", 20).select("conv_id", F.md5(F.col("references").cast("binary")).alias("refs_md5"))
 
 
 register("reference_rollup", reference_rollup, """
-WITH d AS (SELECT conv_id, substr(text, 1, 60) AS t, min(turn) AS f FROM conversations WHERE trim(text) <> '' GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY f, t) AS k FROM d)
+WITH d AS (SELECT conv_id, substr(text, 1, 600) AS t, min(turn) AS f FROM conversations WHERE trim(text) <> '' GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY f, t) AS k FROM d)
 SELECT conv_id, md5(string_agg(t, chr(10) ORDER BY f, t)) AS refs_md5 FROM r WHERE k <= 20 GROUP BY 1
 """)
 
@@ -268,23 +268,26 @@ register("nms_boxes", nms_boxes)
 
 def fuzzy_match(spark: SparkSession, sf: str) -> DataFrame:
     p = read(spark, sf, "part")
-    items = p.where("p_partkey % 20 = 0").select("p_brand", "p_partkey", F.col("p_name").alias("a"))
-    cells = p.where("p_partkey % 20 <> 0").select("p_brand", F.col("p_partkey").alias("cell"), F.col("p_name").alias("b"))
-    return J.fuzzy_best(items, cells, ["p_brand"], "p_partkey", "a", "cell", "b")
+    items = p.select("p_brand", "p_size", "p_partkey", F.col("p_name").alias("a"))
+    cells = p.select("p_brand", "p_size", F.col("p_partkey").alias("cell"), F.concat(F.lit("[a cell that says "), F.upper("p_name"), F.lit("]")).alias("b"))
+    return J.fuzzy_best(items, cells, ["p_brand", "p_size"], "p_partkey", "a", "cell", "b")
 
 
-register("fuzzy_match", fuzzy_match)
+# A cell is so much longer than any name that only containment gives .9; a name is in its own cell at least.
+register("fuzzy_match", fuzzy_match, """
+SELECT i.p_brand, i.p_size, i.p_partkey, min(c.p_partkey) AS cell, 0.9::DOUBLE AS score FROM part i JOIN part c ON c.p_brand = i.p_brand AND c.p_size = i.p_size AND contains(c.p_name, i.p_name) GROUP BY 1, 2, 3
+""")
 
 
 def covering_box(spark: SparkSession, sf: str) -> DataFrame:
-    p = read(spark, sf, "part").select("p_brand", "p_partkey", F.col("p_size").cast("double").alias("x"), (F.col("p_partkey") % 50).cast("double").alias("y"))
-    boxes = read(spark, sf, "part").where("p_partkey % 10 = 0").select("p_brand", F.col("p_partkey").alias("box_id"), F.array(F.lit(0.0), F.lit(0.0), F.col("p_size").cast("double"), (F.col("p_partkey") % 50).cast("double")).alias("box"))
-    return J.smallest_covering(p, boxes, ["p_brand"], "p_partkey", "x", "y", "box", "box_id").select("p_partkey", "box_id")
+    p = read(spark, sf, "part").select("p_brand", "p_type", "p_partkey", F.col("p_size").cast("double").alias("x"), (F.col("p_partkey") % 50).cast("double").alias("y"))
+    boxes = read(spark, sf, "part").select("p_brand", "p_type", F.col("p_partkey").alias("box_id"), F.array(F.lit(0.0), F.lit(0.0), F.col("p_size").cast("double"), (F.col("p_partkey") % 50).cast("double")).alias("box"))
+    return J.smallest_covering(p, boxes, ["p_brand", "p_type"], "p_partkey", "x", "y", "box", "box_id").select("p_partkey", "box_id")
 
 
 register("covering_box", covering_box, """
 WITH h AS (SELECT p.p_partkey, b.p_partkey AS box_id, row_number() OVER (PARTITION BY p.p_partkey ORDER BY b.p_size * (b.p_partkey % 50), b.p_partkey) AS r
-  FROM part p JOIN part b ON b.p_brand = p.p_brand AND b.p_partkey % 10 = 0 AND p.p_size BETWEEN 0 AND b.p_size AND p.p_partkey % 50 BETWEEN 0 AND b.p_partkey % 50)
+  FROM part p JOIN part b ON b.p_brand = p.p_brand AND b.p_type = p.p_type AND p.p_size BETWEEN 0 AND b.p_size AND p.p_partkey % 50 BETWEEN 0 AND b.p_partkey % 50)
 SELECT p_partkey, box_id FROM h WHERE r = 1
 """)
 

@@ -35,13 +35,13 @@ SELECT event_id, CASE event_type WHEN 'click' THEN 'interaction' WHEN 'view' THE
 
 
 def rule_classify(spark: SparkSession, sf: str) -> DataFrame:
-    d = read(spark, sf, "documents").withColumn("caption", F.substring("text", 1, 200))
+    d = read(spark, sf, "documents").withColumn("caption", F.col("text"))
     manual = d.where("doc_id % 100 = 0").select("doc_id", F.lit("A19").alias("code"))
     return R.classify(d, "doc_id", "caption", CAPTIONS, ("A20", 0.6), manual)
 
 
 register("rule_classify", rule_classify, r"""
-WITH c AS (SELECT doc_id, lower(substr(text, 1, 200)) AS t FROM documents),
+WITH c AS (SELECT doc_id, lower(text) AS t FROM documents),
 k AS (SELECT doc_id, CASE WHEN doc_id % 100 = 0 THEN 'A19' WHEN regexp_matches(t, 'oneaen|thean') THEN 'A01' WHEN regexp_matches(t, '^en ') THEN 'A02' WHEN regexp_matches(t, '(^| )les? ') THEN 'A03' WHEN regexp_matches(t, 'ung') THEN 'A04' ELSE 'A20' END AS code FROM c)
 SELECT doc_id, code, CAST(CASE code WHEN 'A19' THEN 1.0 WHEN 'A01' THEN 0.9 WHEN 'A02' THEN 0.8 WHEN 'A03' THEN 0.75 WHEN 'A04' THEN 0.7 ELSE 0.6 END AS DOUBLE) AS confidence FROM k
 """)
@@ -111,12 +111,12 @@ SELECT segment, lithology, pos, CASE WHEN b.role = 'primary' AND row_number() OV
 
 def inventory(spark: SparkSession, sf: str) -> DataFrame:
     units = read(spark, sf, "supplier").select((F.col("s_suppkey") % 10).alias("g"), F.col("s_suppkey").cast("string").alias("unit_id"), F.col("s_suppkey").alias("unit_order"))
-    seg = read(spark, sf, "lineitem").where("l_suppkey % 3 = 0 AND l_orderkey < 100").select((F.col("l_suppkey") % 10).alias("g"), F.col("l_suppkey").cast("string").alias("unit_id"), F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("segment_id"), F.col("l_linenumber").alias("place"))
+    seg = read(spark, sf, "lineitem").where("l_quantity = 50 AND l_tax = 0").select((F.col("l_suppkey") % 10).alias("g"), F.col("l_suppkey").cast("string").alias("unit_id"), F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("segment_id"), F.col("l_linenumber").alias("place"))
     return R.complete_inventory(units, seg, ["g"]).select("g", "segment_id", "ord", "fallback")
 
 
 register("inventory", inventory, """
-WITH u AS (SELECT s_suppkey % 10 AS g, s_suppkey AS k FROM supplier), s AS (SELECT l_suppkey % 10 AS g, l_suppkey AS k, l_orderkey || '-' || l_linenumber AS id, l_linenumber AS place FROM lineitem WHERE l_suppkey % 3 = 0 AND l_orderkey < 100),
+WITH u AS (SELECT s_suppkey % 10 AS g, s_suppkey AS k FROM supplier), s AS (SELECT l_suppkey % 10 AS g, l_suppkey AS k, l_orderkey || '-' || l_linenumber AS id, l_linenumber AS place FROM lineitem WHERE l_quantity = 50 AND l_tax = 0),
 a AS (SELECT u.g, u.k, id, place, false AS fallback FROM u JOIN s USING (g, k) UNION ALL SELECT g, k, 'fallback_' || k, 0, true FROM u WHERE k NOT IN (SELECT k FROM s)),
 r AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY k, place, id) AS ord FROM a)
 SELECT g, id AS segment_id, CAST(ord AS INTEGER) AS ord, fallback FROM r WHERE ord <= 24
@@ -133,11 +133,11 @@ register("unit_batches", unit_batches, "SELECT s_suppkey, CAST(floor((row_number
 def clipped_boxes(spark: SparkSession, sf: str) -> DataFrame:
     b = F.array(F.col("l_quantity") * 20, F.col("l_tax") * 5000, F.col("l_extendedprice") / 50, F.col("l_discount") * 12000)
     box = S.clip_box(b)
-    return read(spark, sf, "lineitem").where("l_orderkey % 10 = 0").select("l_orderkey", "l_linenumber", F.size(box).alias("n"), F.round(F.try_element_at(box, F.lit(3)), 4).alias("x1"))
+    return read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.size(box).alias("n"), F.round(F.try_element_at(box, F.lit(3)), 4).alias("x1"))
 
 
 register("clipped_boxes", clipped_boxes, """
-WITH b AS (SELECT l_orderkey, l_linenumber, least(1000, greatest(0, l_quantity * 20)) AS x0, least(1000, greatest(0, l_tax * 5000)) AS y0, least(1000, greatest(0, l_extendedprice / 50)) AS x1, least(1000, greatest(0, l_discount * 12000)) AS y1 FROM lineitem WHERE l_orderkey % 10 = 0)
+WITH b AS (SELECT l_orderkey, l_linenumber, least(1000, greatest(0, l_quantity * 20)) AS x0, least(1000, greatest(0, l_tax * 5000)) AS y0, least(1000, greatest(0, l_extendedprice / 50)) AS x1, least(1000, greatest(0, l_discount * 12000)) AS y1 FROM lineitem)
 SELECT l_orderkey, l_linenumber, CASE WHEN x1 > x0 AND y1 > y0 THEN 4 ELSE 0 END AS n, CASE WHEN x1 > x0 AND y1 > y0 THEN round(x1, 4) END AS x1 FROM b
 """)
 

@@ -35,7 +35,7 @@ WITH p AS (SELECT page_id, unnest(regexp_extract_all(html, '<p>(.*?)</p>', 1, 's
 
 
 def value_parse(spark: SparkSession, sf: str) -> DataFrame:
-    li = read(spark, sf, "lineitem").where("l_orderkey % 10 = 0")
+    li = read(spark, sf, "lineitem")
     q = F.col("l_quantity").cast("int").cast("string")
     text = F.when(F.col("l_linenumber") == 1, F.concat(F.lit("<"), q, F.lit(" ppm"))).when(F.col("l_linenumber") == 2, F.concat(q, F.lit("-12 %"))).when(F.col("l_linenumber") == 3, F.lit("N/A")).when(F.col("l_linenumber") == 4, F.concat(F.lit("about "), q)).otherwise(F.concat(q, F.lit(",000")))
     v = T.parse_value(text)
@@ -43,7 +43,7 @@ def value_parse(spark: SparkSession, sf: str) -> DataFrame:
 
 
 register("value_parse", value_parse, """
-WITH l AS (SELECT l_orderkey, l_linenumber AS n, CAST(l_quantity AS INTEGER) AS q FROM lineitem WHERE l_orderkey % 10 = 0)
+WITH l AS (SELECT l_orderkey, l_linenumber AS n, CAST(l_quantity AS INTEGER) AS q FROM lineitem)
 SELECT l_orderkey, n AS l_linenumber, CASE n WHEN 1 THEN 'number' WHEN 2 THEN 'range' WHEN 3 THEN 'missing' WHEN 4 THEN 'text' ELSE 'number' END AS value_type,
   CAST(CASE WHEN n = 1 THEN q WHEN n >= 5 THEN q * 1000 END AS DOUBLE) AS num, CAST(CASE WHEN n = 2 THEN least(q, 12) END AS DOUBLE) AS min_value, CAST(CASE WHEN n = 2 THEN greatest(q, 12) END AS DOUBLE) AS max_value,
   CASE WHEN n = 1 THEN '<' ELSE '' END AS comparator, CASE n WHEN 1 THEN 'ppm' WHEN 2 THEN '%' ELSE '' END AS unit FROM l

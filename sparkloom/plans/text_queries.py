@@ -151,7 +151,7 @@ def lexical_score(spark: SparkSession, sf: str) -> DataFrame:
     from sparkloom.operators.joins import contained_terms
 
     parts = read(spark, sf, "part").select("p_partkey", F.split("p_name", " ")[0].alias("first_word"), F.lower("p_name").alias("name"))
-    names = read(spark, sf, "part").select(F.split("p_name", " ")[0].alias("name")).distinct().where("length(name) <= 5").withColumn("n_nationkey", F.col("name"))
+    names = read(spark, sf, "part").select(F.split("p_name", " ")[0].alias("name")).distinct().withColumn("n_nationkey", F.col("name"))
     found = contained_terms(parts, "p_partkey", "name", names, "n_nationkey", "name")
     return found.groupBy("p_partkey").agg(F.count("*").alias("hits")).select(
         "p_partkey", "hits",
@@ -160,6 +160,6 @@ def lexical_score(spark: SparkSession, sf: str) -> DataFrame:
 
 
 register("lexical_score", lexical_score, """
-WITH n AS (SELECT DISTINCT split_part(p_name, ' ', 1) AS name FROM part), h AS (SELECT p_partkey, count(*) AS hits FROM part JOIN n ON contains(lower(p_name), name) WHERE length(name) <= 5 GROUP BY 1)
+WITH n AS (SELECT DISTINCT split_part(p_name, ' ', 1) AS name FROM part), h AS (SELECT p_partkey, count(*) AS hits FROM part JOIN n ON contains(lower(p_name), name) GROUP BY 1)
 SELECT p_partkey, hits, CAST(round(least(0.85, 0.45 + 0.1 * hits), 6) AS DOUBLE) AS score FROM h
 """)

@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from sparkloom.sources.scratch import store
+
 ENCODINGS = ("utf-8-sig", "utf-8", "gb18030")
 #: Files that mark a PDF's output folder as done (fixed values).
 DONE_FILES = ["full.md", "content_list.json", "layout.json"]
@@ -77,17 +79,23 @@ def split_parts(pdfs: DataFrame, most: int = 200) -> DataFrame:
 
 
 def upload_batches(items: DataFrame, order: str, size: int = 20, parts: int = 1024) -> DataFrame:
-    """batch, items: fixed numbers of items in order. Ranks come from sorted ranges, whose sizes are counted first."""
-    ranged = items.select(order).repartitionByRange(max(1, min(parts, items.rdd.getNumPartitions())), order).withColumn("_p", F.spark_partition_id())
+    """batch, items: fixed numbers of items in order.
+
+    The items are dealt to sorted ranges, which are written before anything is counted, as the bounds of ranges come
+    from a sample and differ between two runs. A batch is its range's offset and the rank within.
+    """
+    ranges = items.select(order).repartitionByRange(max(1, min(parts, items.rdd.getNumPartitions())), order)
+    ranged = store(ranges.withColumn("_p", F.spark_partition_id()))
     w = Window.partitionBy("_p").orderBy(order)
     local = ranged.withColumn("_r", F.row_number().over(w))
     totals = {r["_p"]: r["n"] for r in local.groupBy("_p").agg(F.count("*").alias("n")).collect()}
-    before, at = {}, 0
+    before, at = [], 0
     for p in sorted(totals):
-        before[p], at = at, at + totals[p]
-    base = F.coalesce(*[F.when(F.col("_p") == p, F.lit(b)) for p, b in before.items()], F.lit(0)) if before else F.lit(0)
-    batch = F.floor((base + F.col("_r") - 1) / size).cast("int").alias("batch")
-    return local.select(batch, order).groupBy("batch").agg(F.array_sort(F.collect_list(order)).alias("items"))
+        before.append((p, at))
+        at += totals[p]
+    bases = F.broadcast(items.sparkSession.createDataFrame(before, "_p int, _base long"))  # a row for each range
+    batch = F.floor((F.col("_base") + F.col("_r") - 1) / size).cast("int").alias("batch")
+    return local.join(bases, "_p").select(batch, order).groupBy("batch").agg(F.array_sort(F.collect_list(order)).alias("items"))
 
 
 def catalogue_lookup(requests: DataFrame, catalogue: DataFrame) -> DataFrame:

@@ -98,9 +98,9 @@ def label_lithology(labels: DataFrame, key: str, label: str, dictionary: DataFra
     """The lithology of highest priority that a unit's label names, with confidence .99."""
     from sparkloom.operators.joins import contained_terms
 
-    found = contained_terms(labels.select(key, F.lower(label).alias("_label")), key, "_label", dictionary.withColumn("_term", F.col("term")), "_term", "term")
-    named = found.join(dictionary.select(F.col("term").alias("_term"), "lithology", "priority"), "_term")
-    return named.groupBy(key).agg(F.min_by("lithology", F.struct("priority", "_term")).alias("lithology")).withColumn("confidence", F.lit(0.99))
+    found = contained_terms(labels.select(key, F.lower(label).alias("_label")), key, "_label", dictionary.withColumn("_word", F.col("term")), "_word", "term")
+    named = found.join(dictionary.select(F.col("term").alias("_word"), "lithology", "priority"), "_word")
+    return named.groupBy(key).agg(F.min_by("lithology", F.struct("priority", "_word")).alias("lithology")).withColumn("confidence", F.lit(0.99))
 
 
 def first_reason(*gates: tuple[Column, str]) -> Column:

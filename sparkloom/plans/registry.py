@@ -20,4 +20,4 @@ def register(name: str, query: Query, sql: str | None = None) -> None:
 
 def load() -> None:
     """Import the modules that register queries."""
-    from sparkloom.plans import graph_queries, join_queries, rule_queries, table_queries, text_queries  # noqa: F401
+    from sparkloom.plans import assembly_queries, graph_queries, join_queries, markdown_queries, rule_queries, scalar_queries, table_queries, text_queries  # noqa: F401

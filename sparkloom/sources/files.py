@@ -35,8 +35,9 @@ def read_texts(spark: SparkSession, path: str, pattern: str = "*.md") -> DataFra
     return files.select("path", decode_udf("content").alias("text"))
 
 
-def read_json(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    reader = spark.read.option("multiLine", "true")
+def read_json(spark: SparkSession, path: str, schema: str | None = None, lines: bool = False) -> DataFrame:
+    """JSON files of one value each, or, with lines, of one on each line, as write_json() leaves them."""
+    reader = spark.read.option("multiLine", str(not lines).lower())
     return (reader.schema(schema) if schema else reader).json(path)
 
 
@@ -198,3 +199,24 @@ def viewer(graphs: DataFrame, chunks: DataFrame, search: str = "") -> DataFrame:
     found = rows.where(F.contains(F.lower("text"), F.lit(search.lower()))) if search else rows
     return found.orderBy(F.desc("score"), "chunk_id")
 
+
+
+def run_query(spark: SparkSession, query: str, tables: dict[str, DataFrame], **params) -> DataFrame:
+    """A SQL query over named DataFrames, with :name parameters; no view is left behind."""
+    bound = {f"_t{k}": df for k, df in enumerate(tables.values())}
+    with_ = ", ".join(f"{name} AS (SELECT * FROM {{_t{k}}})" for k, name in enumerate(tables))
+    return spark.sql(f"WITH {with_} {query}" if tables else query, args=params or None, **bound)
+
+
+def write_catalogue(pdfs: DataFrame, root: str, path: str) -> None:
+    """The catalogue of parsed files: paper_id, source_pdf, source_path, output_dir for pdfs(path), as JSON."""
+    name = F.element_at(F.split("path", "/"), -1)
+    stem = F.regexp_replace(name, r"(?i)\.pdf$", "")
+    write_json(pdfs.select(stem.alias("paper_id"), name.alias("source_pdf"), F.col("path").alias("source_path"), F.concat(F.lit(root.rstrip("/") + "/"), stem).alias("output_dir")), path)
+
+
+def poll_states(tasks: DataFrame, batch: str, state: str) -> DataFrame:
+    """batch, done, failed, open, finished: how far the tasks of a remote batch are, and whether all have ended."""
+    s = F.lower(F.trim(state))
+    out = tasks.groupBy(batch).agg(F.count_if(s == "done").alias("done"), F.count_if(s == "failed").alias("failed"), F.count_if(~s.isin("done", "failed")).alias("open"))
+    return out.withColumn("finished", F.col("open") == 0)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import struct
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,15 +39,6 @@ _VARIABLE = re.compile(rb"[0-9@]|://")
 _TOKEN = re.compile(rb"\S+")
 
 
-class _Hashes(dict):
-    def __missing__(self, token: bytes) -> bytes:
-        self[token] = found = xxhash.xxh64_digest(token)
-        return found
-
-
-_HASHES = _Hashes()
-
-
 def templates(line: bytes) -> tuple[int, list[int]]:
     """(number of tokens, ids of the templates that the line matches).
 
@@ -69,7 +61,11 @@ def templates(line: bytes) -> tuple[int, list[int]]:
         cuts = [DEPTH + rest * k // FIELDS for k in range(FIELDS + 1)]
         parts = [digest(b" ".join(tokens[a:b])) for a, b in zip(cuts, cuts[1:])]
         found = [struct.pack(f"<QB{FIELDS - 1}Q", leaf, k, *parts[:k], *parts[k + 1 :]) for k in range(FIELDS)]
-    return n, [struct.unpack("<q", xxhash.xxh64(x).digest()[::-1])[0] for x in found]
+    return n, [_signed(digest(x)) for x in found]
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
 
 
 def passages(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -77,9 +73,9 @@ def passages(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     m = len(tokens) - GRAM + 1
     if m < WINDOW:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    if len(_HASHES) > 1 << 18:
-        _HASHES.clear()
-    ids = np.frombuffer(b"".join(map(_HASHES.__getitem__, tokens)), ">u8").astype(np.uint64)
+    ids = np.fromiter(map(zlib.crc32, tokens), np.uint64, len(tokens))  # of two runs, GRAM tokens would have to collide
+    ids = (ids + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+    ids ^= ids >> np.uint64(32)
     power = 0x9E3779B97F4A7C15
     for k in (1, 2, 4, 8):  # GRAM is 16: runs of 2, 4, 8 and 16 tokens
         ids = ids[:-k] * np.uint64(power) + ids[k:]
@@ -163,7 +159,7 @@ def line_templates(docs: DataFrame) -> DataFrame:
                     for no, line in enumerate((text or b"").split(b"\n")):
                         n, found = templates(line)
                         if 0 < n < SHORT:
-                            found = [struct.unpack("<q", xxhash.xxh64(b"%d " % n + b" ".join(line.split())).digest()[::-1])[0]]
+                            found = [_signed(xxhash.xxh64_intdigest(b"%d " % n + b" ".join(line.split())))]
                         for t in found:
                             rows.append(k)
                             line_no.append(no)

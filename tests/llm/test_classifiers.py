@@ -1,5 +1,6 @@
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -141,3 +142,98 @@ def test_word_hashes_do_not_depend_on_place():
     one, two = R.ngram_features(b"alpha beta alpha"), R.ngram_features(b"  alpha  beta   alpha")
     words = slice(3 * R.BUCKETS, 5 * R.BUCKETS)
     assert np.allclose(one[words], two[words])
+
+
+def brute_features(model, data):
+    """Every window compressed or passed over by itself."""
+    words = data.lower().split()
+    words = [w[k : k + 64] for w in words for k in range(0, len(w), 64)]
+    last = max(0, len(words) - X.SPAN)
+    starts = [*range(0, last, X.STEP), last] if words else []
+    found = []
+    for k in starts:
+        w = b" " + b" ".join(words[k : k + X.SPAN]) + b" "
+        lacks = any(w[i:j] in model.toxic and w[i:j] not in model.ordinary for i in range(len(w)) for j in range(i + X.GRAM, len(w) + 1))
+        found.append(len(X.compressor(model.ordinary).compress(X.FRAME + w)) - len(X.compressor(model.toxic + model.ordinary).compress(X.FRAME + w)) if lacks else 0)
+    large = [d for d in found if d >= X.SAVED]
+    return [max(large, default=0), np.log1p(len(large)), np.log1p(sum(large)), np.log1p(len(found))]
+
+
+def test_toxic_features_match_brute_force():
+    rng = random.Random(7)
+    model = X.ToxicModel(b" grobnik  slurtag o vexhole", b" the of and that grob nik slur low er iot" * 2)
+    vocabulary = "the of and that grobnik SLURTAG vexhole grob niks x slur tag".split() + ["é" * 50]
+    for n in [0, 1, 2, 3, 4, 5, 6, 7, 9, 20] * 6:
+        text = " ".join(rng.choice(vocabulary) for _ in range(n)).encode()
+        assert np.allclose(model.features(text), brute_features(model, text)), text
+
+
+def test_long_and_equal_texts_and_ties(spark):
+    rng = random.Random(8)
+    rows = [(i, toxic(rng) if i % 4 == 0 else prose(rng), int(i % 4 == 0)) for i in range(200)]
+    long = (prose(rng, 200_000), "x" * 3_000_000, prose(rng, 3000) + " grobnik slurtag vexhole " * 40)
+    rows += [(1000 + i, t, None) for i, t in enumerate(long)] + [(2000, rows[0][1], None)]
+    docs, labels = frames(spark, rows, "toxic")
+    out = {r.doc_id: r for r in X.toxicity(docs, labels).collect()}
+    assert len(out) == len(rows) and out[0].score == out[2000].score
+    least = out[0].score
+    assert {r.predicted for r in X.toxicity(docs, labels, threshold=least).collect() if r.doc_id in (0, 2000)} == {1}
+
+
+def test_quality_weights_solve_the_normal_equations(spark):
+    rng = random.Random(9)
+    rows = [(i, junk(rng) if i % 5 == 0 else prose(rng), int(i % 5 > 0)) for i in range(240)]
+    docs, labels = frames(spark, rows, "quality")
+    model = Q.train(Q.document_statistics(docs), labels)
+    used = [(t, y) for i, t, y in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+    x, y = np.array([Q.statistics(t.encode()) for t, _ in used]), np.array([v for _, v in used], float)
+    assert np.allclose(model.mean, x.mean(axis=0)) and np.allclose(model.scale, np.maximum(x.std(axis=0), 1e-3))
+    phi = model.fourier(x)
+    penalty = np.eye(phi.shape[1]) * Q.RIDGE * len(x) / Q.FEATURES
+    penalty[-1, -1] = 1e-9 * len(x)
+    assert np.allclose(phi @ np.array(model.weights), phi @ np.linalg.solve(phi.T @ phi + penalty, phi.T @ y), atol=1e-6)
+    scores = {r.doc_id: r.score for r in Q.quality(docs, labels).collect()}
+    want = np.interp(model.raw(np.array([Q.statistics(t.encode()) for _, t, _ in rows])), model.points, model.values)
+    assert np.allclose([scores[i] for i, _, _ in rows], np.clip(want, 0, 1))
+
+
+def brute_ngrams(data):
+    """Shares of hashed n-grams, one n-gram at a time."""
+    out = np.zeros((R.FAMILIES, R.BUCKETS))
+    mask = (1 << 32) - 1
+
+    def put(k, places):
+        for p in places:
+            out[k, p] += 1 / len(places)
+
+    put(0, list(data))
+    put(1, [(int.from_bytes(data[i : i + 3], "little") * 2654435761 & mask) >> 22 for i in range(len(data) - 2)])
+    put(2, [(int.from_bytes(data[i : i + 4], "little") * 2654435761 & mask) >> 22 for i in range(len(data) - 3)])
+    words = [sum((b + 1) * pow(R._BASE, j, 1 << 64) for j, b in enumerate(w)) * 0x9E3779B97F4A7C15 % (1 << 64) for w in data.split()]
+    put(3, [w >> 54 for w in words])
+    put(4, [((a ^ b >> 7) * 0x9E3779B97F4A7C15 % (1 << 64)) >> 54 for a, b in zip(words, words[1:])])
+    return np.sqrt(out).reshape(-1)
+
+
+def test_rule_verdicts_match_brute_force(spark):
+    rng = random.Random(10)
+    rows = [(i, junk(rng) if i % 3 == 0 else prose(rng, 80), int(i % 3 > 0)) for i in range(120)]
+    docs, labels = frames(spark, [*rows, *ODD[:3]], "quality")
+    model = R.train(docs, labels)
+    for r in R.quality_rules(docs, labels, model=model).collect():
+        data = dict((i, t) for i, t, _ in [*rows, *ODD[:3]])[r.doc_id] or ""
+        x = model.intercept + float(brute_ngrams(data.encode()) @ np.array(model.weights))
+        p = 1 / (1 + np.exp(-np.clip(model.slope * x + model.shift, -30, 30)))
+        n, _, _, _, repeated = brute_counts(data)
+        failed = n < 50 or 100 * repeated > 50 * n
+        assert r.base_failed == failed and abs(r.probability - p) < 1e-3 and r.kept == (not failed and r.probability >= R.KEEP_AT)
+
+
+def test_sample_thins_long_texts_and_skips_absent_rows(spark):
+    from sparkloom.llm.common import labelled_sample
+
+    docs = spark.createDataFrame([(1, "a" * 100), (2, "".join(chr(97 + k % 26) for k in range(4000))), (3, ""), (4, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(1, 50)], "doc_id long, y int")
+    got = labelled_sample(docs, labels, (0, 4), 320)
+    assert sorted(len(t.replace("\n", "")) for t, _ in got) == [100, 320]
+    assert max((t for t, _ in got), key=len).split("\n")[0] == "abcdefghijklmnopqrst" and max((t for t, _ in got), key=len).endswith(chr(97 + 3999 % 26))

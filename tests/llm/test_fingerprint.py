@@ -74,3 +74,12 @@ def test_weights_count(spark):
     got = {r.id: [r.fingerprint[k : k + 4] for k in range(0, 256, 4)] for r in sample_words(frame, ["id"]).collect()}
     like = lambda a, b: sum(x == y for x, y in zip(got[a], got[b])) / 64
     assert abs(like(1, 2) - 2 / 11) < 0.2 and abs(like(1, 3) - 11 / 12) < 0.2 and abs(like(3, 4) - 12 / 22) < 0.25
+
+
+def test_pruned_samples_are_those_of_the_whole_sampler(spark):
+    rng = random.Random(4)
+    words = [f"w{k}" for k in range(400)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(0, 600)))) for i in range(60)]
+    frame = spark.createDataFrame(rows, "id long, text string")
+    got = lambda bound: {r.id: r.fingerprint for r in sample_words(frame, ["id"], bound=bound).collect()}
+    assert got(20.0) == got(None)

@@ -146,3 +146,39 @@ def test_shortest_lines_go_when_many_texts_have_them(spark):
         got = run(spark, rows)
         for x, n in lines.items():
             assert sum(x in r.text.split("\n") for r in got.values()) == (1 if least else n - 1), x
+
+
+def brute_drops(rows):
+    """Whole lines of LONG tokens or more that go by the template rule, found by comparing all pairs of lines."""
+    texts = {t for _, t in rows if t}
+    lines = [(t, k, templates(x.encode())) for t in texts for k, x in enumerate(t.split("\n"))]
+    first = {t: min((i is not None, i or 0) for i, u in rows if u == t) for t in texts}
+    gone = {}
+    for t, k, (n, ids) in lines:
+        if n >= 8:
+            for x in ids:
+                having = {u for u, _, (m, other) in lines if m >= 8 and x in other}
+                if len(having) > 1 and min(having, key=lambda u: (first[u], u)) != t:
+                    gone.setdefault(t, set()).add(k)
+    return {t: sorted(gone.get(t, ())) for t in texts}
+
+
+def test_dropped_lines_match_brute_force(spark):
+    rng = random.Random(11)
+    pool = [sentence(rng, rng.randint(8, 14)) for _ in range(30)]
+    pool += [" ".join("9x" if k == 5 else w for k, w in enumerate(p.split())) for p in pool[:10]]
+    rows = [(i if i != 7 else None, "\n".join([*rng.sample(pool, 3), *(sentence(rng, 9) for _ in range(3))])) for i in range(40)]
+    rows += [(100, rows[3][1]), (-1, rows[5][1])]
+    want = brute_drops(rows)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = drop_recurring_lines(frame, copy_share=1.0).collect()
+    assert len(out) == len(rows)
+    left = {t: "\n".join(x for k, x in enumerate(t.split("\n")) if k not in want[t]) for t in want}
+    assert sorted(r.text for r in out) == sorted(left[t] for _, t in rows)
+
+
+def test_clashing_names(spark):
+    rows = [(i, sentence(random.Random(12), 30), 1, 2, 3) for i in range(3)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, _gone int, _runs int, _id int")
+    out = drop_recurring_lines(frame)
+    assert out.columns == ["doc_id", "text", "_gone", "_runs", "_id", "n_lines", "n_dropped", "dropped_lines"] and out.count() == 3

@@ -59,3 +59,60 @@ def test_rows_of_one_id_and_without_id_have_their_own_classes(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     kept = sorted(((r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()), key=repr)
     assert kept == sorted([(1, a), (2, b), (2, c), (None, d), (4, None)], key=repr)
+
+
+def test_near_copies_match_brute_force(spark):
+    from tests.llm.test_simhash import brute_print, classes
+
+    rng = random.Random(3)
+    base = [prose(rng, 300) for _ in range(6)]
+    rows = [(rng.choice([None, *range(12)]), base[i % 6] + rng.choice(["", " end", " of"]), {"k": i % 2}, i % 3) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, extra map<string,int>, _row int")
+    out = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert out.columns == docs.columns
+    root = classes({brute_print(t) for _, t, _, _ in rows}, lambda a, b: (a ^ b).bit_count() <= 3)
+    groups = {}
+    for i, t, _, _ in rows:
+        groups.setdefault(root[brute_print(t)], []).append((i is None, i))
+    kept = {}
+    for r in out.collect():
+        assert (r.doc_id, r.text, r.extra, r._row) in [tuple(x) for x in rows]
+        assert kept.setdefault(root[brute_print(r.text)], (r.doc_id is None, r.doc_id)) == (r.doc_id is None, r.doc_id)
+    assert {g: min(v, key=lambda x: (x[0], x[1] or 0)) for g, v in groups.items()} == kept and out.count() == len(groups)
+
+
+def test_stages_on_odd_tables(spark, tmp_path):
+    rng = random.Random(4)
+    long = "\n".join(prose(rng, 200) for _ in range(300))
+    rows = [(1, None, {"a": 1}), (2, "", None), (3, long, {"b": 2}), (3, long, {"b": 2}), (None, " \n ", None), (4, prose(rng, 80), None)]
+    schema = "doc_id long, text string, _gone map<string,int>"
+    spark.createDataFrame([(i, 1, 0) for i in range(1, 5)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for name, data in (("odd", rows), ("none", [])):
+        docs = spark.createDataFrame(data, schema)
+        for step, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, docs, str(tmp_path))
+            assert out.columns == docs.columns
+            out.write.parquet(f"{tmp_path}/{name}-{step}")
+            docs = spark.read.parquet(f"{tmp_path}/{name}-{step}")
+        assert (docs.count() > 0) == bool(data)
+        packed = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path))
+        assert (packed.count() > 0) == bool(data)
+
+
+def test_plain_session_needs_no_setting(tmp_path):
+    import subprocess
+    import sys
+
+    code = """
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.sql.shuffle.partitions", "2").config("spark.ui.enabled", "false").getOrCreate()
+from sparkloom.llm.sharding import shard
+from sparkloom.operators.graphs import clusters
+docs = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, text string")
+print("rows", shard(docs).count(), clusters(spark.createDataFrame([(1, 2)], "a int, b int"), "a", "b").count())
+"""
+    import os
+
+    root = os.path.dirname(os.path.abspath(corpus_pipeline.__file__))
+    run = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=tmp_path, env={**os.environ, "PYTHONPATH": root}, timeout=300)
+    assert "rows 2 2" in run.stdout, run.stderr[-2000:]

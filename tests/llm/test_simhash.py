@@ -4,6 +4,7 @@ import pytest
 import xxhash
 
 from sparkloom.llm.components import components
+from sparkloom.llm.common import join_counted
 from sparkloom.llm.simhash import ball_links, fingerprint, fingerprints, links, near_duplicates
 
 
@@ -124,3 +125,24 @@ def test_near_duplicates(spark):
     assert sorted(map(tuple, near_duplicates(frame).collect()), key=key) == sorted(want, key=key)
     assert near_duplicates(frame.limit(0)).count() == 0
     assert fingerprints(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("blocks", [6, 8, 12, 16])
+def test_links_are_the_same_for_any_number_of_blocks(spark, blocks):
+    rng = random.Random(9)
+    prints = {signed(p) for p in [*flock(rng, 60, 5), *flock(rng, 40, 3), *(rng.getrandbits(64) for _ in range(50))]}
+    pairs = [tuple(r) for r in links(spark.createDataFrame([(p,) for p in prints], "fp long"), blocks=blocks).collect()]
+    want = {(a, b) for a in prints for b in prints if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= 3}
+    assert len(pairs) == len(want) and set(pairs) == want
+
+
+def test_hot_keys_are_joined_alike(spark, monkeypatch):
+    rows = spark.createDataFrame([(1, i) for i in range(40)] + [(2, 0), (3, 0)], "k int, v int")
+    side = spark.createDataFrame([(1, "a", 40), (2, "b", 1), (4, "c", 0)], "k int, name string, n int")
+    want = sorted([(1, i, "a") for i in range(40)] + [(2, 0, "b")])
+    for heavy in (10, 100):
+        got = join_counted(rows, side, "k", "n", heavy).select("k", "v", "name")
+        assert sorted(map(tuple, got.collect())) == want
+    monkeypatch.setattr("sparkloom.llm.common.HEAVY", 3)
+    test_components_of_a_chain_and_a_star(spark)
+    test_near_duplicates(spark)

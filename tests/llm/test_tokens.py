@@ -133,3 +133,14 @@ def test_merge_windows(spark):
             assert base == at
             at += f
         assert at <= 10
+
+
+def test_long_texts_have_the_same_ids(monkeypatch):
+    from sparkloom.llm import packing
+
+    lib = Tokenizer.from_file(BYTE)
+    long = " ".join(t or "" for t in texts(600)) + "x" * 300_000
+    for most in (packing.LONG_TEXT, 10):
+        monkeypatch.setattr(packing, "LONG_TEXT", most)
+        for text in [*texts(60), long]:
+            assert packing._ids(BYTE, text or "") == array("I", lib.encode(text or "", add_special_tokens=False).ids).tobytes()

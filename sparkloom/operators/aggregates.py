@@ -151,19 +151,39 @@ def reference_rollup(df: DataFrame, key: list[str], seq: str, text: str, most: i
 
 def longest_monotone(points: DataFrame, key: list[str], pos: str, value: str, increases: str = "down") -> DataFrame:
     """The longest run of points, not necessarily adjacent, whose values rise (or fall) with pos; among equals the one
-    of larger span. One axis's labels are one group, which an image bounds."""
+    of larger span. One axis's labels are one group, whose time grows by n log n: a tree over the ranks of the values holds
+    the best run that ends at or below each."""
 
     def longest(k: tuple, df: pd.DataFrame) -> pd.DataFrame:
         df = df.drop_duplicates([pos, value]).sort_values([pos, value]).reset_index(drop=True)
-        sign = 1 if increases == "down" else -1
-        p, v = df[pos].tolist(), [sign * x for x in df[value]]
-        best: list[tuple[int, float, list[int]]] = []
-        for i in range(len(df)):
-            options = [b for j, b in enumerate(best) if p[j] < p[i] and v[j] < v[i]]
-            n, _, chain = max(options, key=lambda b: (b[0], v[i] - v[b[2][0]]), default=(0, 0.0, []))
-            chain = [*chain, i]
-            best.append((n + 1, v[i] - v[chain[0]], chain))
-        return df.iloc[max(best, key=lambda b: (b[0], b[1]), default=(0, 0, []))[2]]
+        p, v = df[pos].tolist(), ((1 if increases == "down" else -1) * df[value]).tolist()
+        rank = (np.unique(v, return_inverse=True)[1] + 1).tolist()
+        size = max(rank, default=0)
+        none = (0, 0.0, 0)  # length, less the first value, less the row
+        tree, runs, before = [none] * (size + 1), [], []
+        at = 0
+        while at < len(p):
+            end = at
+            while end < len(p) and p[end] == p[at]:  # points of one place do not follow each other
+                best, r = none, rank[end] - 1
+                while r:
+                    best = max(best, tree[r])
+                    r &= r - 1
+                runs.append((best[0] + 1, best[1] if best[0] else -v[end], -end))
+                before.append(-best[2] if best[0] else None)
+                end += 1
+            for i in range(at, end):
+                r = rank[i]
+                while r <= size:
+                    tree[r] = max(tree[r], runs[i])
+                    r += r & -r
+            at = end
+        chain = []
+        i = max(range(len(p)), key=lambda i: (runs[i][0], v[i] + runs[i][1]), default=None)
+        while i is not None:
+            chain.append(i)
+            i = before[i]
+        return df.iloc[chain[::-1]]
 
     return points.groupBy(*key).applyInPandas(longest, points.schema)
 

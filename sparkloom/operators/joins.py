@@ -91,12 +91,24 @@ def consume_once(left: DataFrame, right: DataFrame, group: list[str], name: list
     return out.select(*[F.col(c) for c in left.columns], *[F.coalesce(f"_n_{v}", f"_p_{v}").alias(v) for v in values if v not in left.columns])
 
 
-def overlapping(a: DataFrame, b: DataFrame, on: list[str], a_start: str, a_end: str, b_start: str, b_end: str, width: float) -> DataFrame:
+def bucket_width(*intervals: tuple[DataFrame, str, str]) -> float:
+    """A bucket as wide as the mean interval, and at least a thousandth of the longest: an interval meets two or three
+    buckets on average, and a thousand at most."""
+    wide = 0.0
+    for df, start, end in intervals:
+        span = F.col(end).cast("double") - F.col(start).cast("double")
+        mean, most = df.where(span > 0).agg(F.avg(span), F.max(span)).first()
+        wide = max(wide, mean or 0.0, (most or 0.0) / 1000)
+    return wide or 1.0
+
+
+def overlapping(a: DataFrame, b: DataFrame, on: list[str], a_start: str, a_end: str, b_start: str, b_end: str, width: float | None = None) -> DataFrame:
     """Rows of a and b with equal `on` whose intervals share more than a point.
 
-    Both sides are dealt to the buckets of `width` that their intervals meet; a pair is kept in the first bucket
-    that both have, so it comes once. Columns of the two must differ but for `on`.
+    Both sides are dealt to the buckets of `width` (by default, as long as their intervals are) that their intervals meet; a pair is kept
+    in the first bucket that both have, so it comes once. Columns of the two must differ but for `on`.
     """
+    width = bucket_width((a, a_start, a_end), (b, b_start, b_end)) if width is None else width
     bucket = lambda c: F.floor(F.col(c).cast("double") / width)
     spread = lambda df, s, e: df.where(F.col(s) < F.col(e)).withColumn("_b", F.explode(F.sequence(bucket(s), bucket(e))))
     x, y = spread(a, a_start, a_end), spread(b, b_start, b_end)
@@ -104,8 +116,9 @@ def overlapping(a: DataFrame, b: DataFrame, on: list[str], a_start: str, a_end:
     return joined.where(F.col("_b") == F.greatest(bucket(a_start), bucket(b_start))).drop("_b")
 
 
-def first_containing(points: DataFrame, spans: DataFrame, on: list[str], point_key: list[str], value: str, start: str, end: str, order: list, width: float) -> DataFrame:
+def first_containing(points: DataFrame, spans: DataFrame, on: list[str], point_key: list[str], value: str, start: str, end: str, order: list, width: float | None = None) -> DataFrame:
     """For each point, the first span by `order` that contains it (ends included); points without one have nulls."""
+    width = bucket_width((spans, start, end)) if width is None else width
     bucket = lambda c: F.floor(F.col(c).cast("double") / width)
     s = spans.withColumn("_b", F.explode(F.sequence(bucket(start), bucket(end))))
     found = points.withColumn("_b", bucket(value)).join(s, [*on, "_b"]).where(F.col(value).between(F.col(start), F.col(end)))

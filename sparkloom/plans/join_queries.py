@@ -82,7 +82,7 @@ def interval_overlap(spark: SparkSession, sf: str) -> DataFrame:
     o = read(spark, sf, "orders").select("o_orderkey", "o_custkey")
     spans = _spans(spark, sf).join(o, F.col("l_orderkey") == F.col("o_orderkey")).select("o_custkey", "o_orderkey", "s", "e")
     other = spans.select("o_custkey", F.col("o_orderkey").alias("k2"), F.col("s").alias("s2"), F.col("e").alias("e2"))
-    pairs = J.overlapping(spans, other, ["o_custkey"], "s", "e", "s2", "e2", 30.0).where("o_orderkey < k2")
+    pairs = J.overlapping(spans, other, ["o_custkey"], "s", "e", "s2", "e2").where("o_orderkey < k2")
     scored = pairs.withColumn("ratio", S.overlap_ratio("s", "e", "s2", "e2")).where("ratio >= 0.15")
     return scored.select("o_custkey", "o_orderkey", "k2", F.round("ratio", 6).alias("ratio"))
 
@@ -98,7 +98,7 @@ WHERE (least(a.e, b.e) - greatest(a.s, b.s)) / least(a.e - a.s, b.e - b.s) >= 0.
 def point_in_interval(spark: SparkSession, sf: str) -> DataFrame:
     o = read(spark, sf, "orders").select("o_custkey", "o_orderkey", (epoch("o_orderdate") / 86400).alias("d"))
     spans = _spans(spark, sf).join(o.select("o_custkey", "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey")).select("o_custkey", F.col("l_orderkey").alias("hit"), "s", "e")
-    return J.first_containing(o, spans, ["o_custkey"], ["o_orderkey"], "d", "s", "e", ["hit"], 30.0).select("o_custkey", "o_orderkey", "hit")
+    return J.first_containing(o, spans, ["o_custkey"], ["o_orderkey"], "d", "s", "e", ["hit"]).select("o_custkey", "o_orderkey", "hit")
 
 
 register("point_in_interval", point_in_interval, f"""

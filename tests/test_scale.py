@@ -77,3 +77,23 @@ def test_strict_profile_fails_on_an_unknown_end(spark):
 def test_query_runner_takes_parameters(spark):
     t = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     assert [r.v for r in I.run_query(spark, "SELECT v FROM x WHERE k = :k", {"x": t}, k=2).collect()] == ["b"]
+
+
+@pytest.mark.parametrize("increases", ["down", "up"])
+def test_longest_monotone_run_against_brute_force(spark, increases):
+    from itertools import combinations
+
+    from sparkloom.operators.aggregates import longest_monotone
+
+    rng = random.Random(2)
+    rows = [(g, rng.randrange(6), float(rng.randrange(6))) for g in range(30) for _ in range(rng.randint(1, 8))]
+    got = {}
+    for r in longest_monotone(spark.createDataFrame(rows, "g int, p int, v double"), ["g"], "p", "v", increases).collect():
+        got.setdefault(r.g, []).append((r.p, r.v))
+    sign = 1 if increases == "down" else -1
+    for g in {r[0] for r in rows}:
+        points = sorted({(p, v) for h, p, v in rows if h == g})
+        runs = [c for n in range(1, len(points) + 1) for c in combinations(points, n) if all(x[0] < y[0] and sign * x[1] < sign * y[1] for x, y in zip(c, c[1:]))]
+        measure = lambda c: (len(c), sign * (c[-1][1] - c[0][1]))
+        found = sorted(got[g])
+        assert tuple(found) in runs and measure(found) == max(map(measure, runs))

@@ -136,3 +136,39 @@ ENTITY_PROMPT = "List the entities of the text as JSON. Allowed types: {types}.\
 RELATION_PROMPT = "List the relations between these entities as JSON.\nEntities: {entities}\nAllowed relations: {relations}\n\n{text}"
 SUMMARY_PROMPT = "Summarise the section {title}. Child summaries: {children}\nCategories to choose from: {categories}\n\n{text}"
 AUDIT_PROMPT = "Check each relation against the figure and its caption, and answer with the ids to keep.\n{relations}\nCaption: {caption}"
+
+
+def remote_parse(files: DataFrame, key: str, path: str, factory: Callable[[], object], tries: int = 3) -> DataFrame:
+    """key, state (done or failed), content, error: what client.parse(path) returns for each file, as JSON text.
+
+    The connector is injected; a file that it cannot parse is a failed row, never a failed job.
+    """
+    kind = files.schema[key].dataType.simpleString()
+
+    class _Asked:
+        def __init__(self, client) -> None:
+            self.chat = client.parse
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        asked = _Asked(factory())
+        for df in frames:
+            out = []
+            for k, p in zip(df[key], df[path]):
+                content, status, error = answer(asked, p, tries, lambda seconds: None)
+                out.append((k, "done" if status == "completed" else "failed", content, error))
+            yield pd.DataFrame(out, columns=[key, "state", "content", "error"])
+
+    return files.select(key, path).mapInPandas(run, f"{key} {kind}, state string, content string, error string")
+
+
+FORMULA_PROMPT = "Give the meaning and unit of each symbol as JSON.\nSymbols: {symbols}\nFormula: {latex}"
+
+
+def formula_semantics(formulas: DataFrame, key: str, latex: str, symbols: str, factory: Callable[[], object]) -> DataFrame:
+    """key, symbol, meaning, unit of the symbols that a model explains; an answer that is no JSON explains none."""
+    from sparkloom.functions.scalars import json_fragment, without_thinking
+
+    asked = formulas.select(key, prompt(FORMULA_PROMPT, symbols=F.array_join(symbols, ", "), latex=latex).alias("_prompt"))
+    answers = call_model(asked, key, "_prompt", factory)
+    parsed = F.from_json(json_fragment(without_thinking("response")), "symbols array<struct<symbol:string,meaning:string,unit:string>>")
+    return answers.select(key, F.inline(parsed["symbols"]))

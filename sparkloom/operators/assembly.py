@@ -206,3 +206,33 @@ def cluster_result(members: DataFrame, cluster: str, member: str, name: str, con
     return members.groupBy(cluster).agg(
         F.min_by(name, F.struct(-F.col(confidence), F.col(member))).alias("canonical"), F.array_sort(F.collect_list(member)).alias("members"), F.avg(confidence).alias("confidence")
     )
+
+
+def audited(units: DataFrame, audit: DataFrame, group: str, key: str, value: str) -> DataFrame:
+    """units with the audit's values, in groups where the audit names exactly the ids that the units have; accepted tells."""
+    ids = lambda df: df.groupBy(group).agg(F.array_sort(F.collect_set(key)).alias("_ids"))
+    same = ids(units).join(ids(audit).withColumnRenamed("_ids", "_audit"), group).where("_ids = _audit").select(group, F.lit(True).alias("accepted"))
+    new = audit.select(group, key, F.col(value).alias("_value"))
+    out = units.join(same, group, "left").join(new, [group, key], "left")
+    accepted = F.coalesce("accepted", F.lit(False))
+    return out.withColumn(value, F.when(accepted, F.col("_value")).otherwise(F.col(value))).withColumn("accepted", accepted).select(*units.columns, "accepted")
+
+
+def table_only(tasks: DataFrame, kind: str, subtype: str) -> DataFrame:
+    """Tasks with the classification of table figures forced on them; those of another kind are skipped rows."""
+    ok = F.col(kind) == "table"
+    return tasks.withColumn("code", F.when(ok, F.lit(subtype))).withColumn("status", F.when(ok, "pending").otherwise("skipped_kind"))
+
+
+def formula_records(formulas: DataFrame, key: str, latex: str) -> tuple[DataFrame, DataFrame]:
+    """Nodes (id, type, name) and HAS_SYMBOL edges (source, type, target) of formulas and their symbols, with ids that do not change."""
+    rows = formulas.select(stable_id("formula", key, latex).alias("f"), F.col(latex).alias("name"), F.explode_outer(L.symbols(F.col(latex))).alias("s"))
+    sym = stable_id("symbol", "f", "s")
+    nodes = rows.select(F.col("f").alias("id"), F.lit("Formula").alias("type"), "name").unionByName(rows.where("s IS NOT NULL").select(sym.alias("id"), F.lit("Symbol").alias("type"), F.col("s").alias("name")))
+    return nodes.distinct(), rows.where("s IS NOT NULL").select(F.col("f").alias("source"), F.lit("HAS_SYMBOL").alias("type"), sym.alias("target")).distinct()
+
+
+def graph_rows(parts: dict[str, DataFrame], document: Column, chunk: Column, modality: str, stage: str) -> DataFrame:
+    """document_id, chunk_id, modality, stage, kind, id: a chunk's entities, relations and events as one long table."""
+    rows = [df.select(document.alias("document_id"), chunk.alias("chunk_id"), F.lit(modality).alias("modality"), F.lit(stage).alias("stage"), F.lit(kind).alias("kind"), F.col("id").cast("string").alias("id")) for kind, df in parts.items()]
+    return reduce(DataFrame.unionByName, rows)

@@ -542,3 +542,95 @@ def routed_prompts(spark: SparkSession, sf: str) -> DataFrame:
 register("routed_prompts", routed_prompts, """
 SELECT event_id, 'Type ' || event_type || ' of {"user_id":' || user_id || '}: ' AS prompt, CASE WHEN event_type = 'view' THEN 'vision' ELSE 'text' END AS model FROM events
 """)
+
+
+class _Parser:
+    """A layout service that cannot read files whose number ends in 3."""
+
+    def parse(self, path: str) -> str:
+        if path.endswith("3.pdf"):
+            raise OSError("unreadable")
+        return '{"pages": [{"path": "' + path + '"}]}'
+
+
+def remote_parses(spark: SparkSession, sf: str) -> DataFrame:
+    files = read(spark, sf, "customer").select("c_custkey", F.concat(F.lit("in/"), F.col("c_custkey").cast("string"), F.lit(".pdf")).alias("path"))
+    out = K.remote_parse(files, "c_custkey", "path", _Parser)
+    return out.select("c_custkey", "state", F.get_json_object("content", "$.pages[0].path").alias("path"), "error")
+
+
+register("remote_parses", remote_parses, """
+SELECT c_custkey, CASE WHEN c_custkey % 10 = 3 THEN 'failed' ELSE 'done' END AS state, CASE WHEN c_custkey % 10 <> 3 THEN 'in/' || c_custkey || '.pdf' END AS path, CASE WHEN c_custkey % 10 = 3 THEN 'OSError: unreadable' END AS error FROM customer
+""")
+
+
+class _Explains:
+    """A model that explains the first symbol of a formula, and talks past the question for formulas of z."""
+
+    def chat(self, prompt: str) -> str:
+        if prompt.endswith("z"):
+            return "I do not know"
+        first = prompt.split("Symbols: ")[1].split("\n")[0].split(", ")[0]
+        return '<think>hm</think>Sure: {"symbols": [{"symbol": "' + first + '", "meaning": "size", "unit": "m"}]}'
+
+
+def explained_symbols(spark: SparkSession, sf: str) -> DataFrame:
+    f = read(spark, sf, "nation").select("n_nationkey", F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit("k_"), F.col("n_nationkey").cast("string"), F.lit(" = y"))).otherwise("x = z").alias("latex"))
+    symbols = F.when(F.col("n_nationkey") % 2 == 0, F.array(F.concat(F.lit("k_"), F.col("n_nationkey").cast("string")), F.lit("y"))).otherwise(F.array(F.lit("x"), F.lit("z")))
+    return K.formula_semantics(f.withColumn("symbols", symbols), "n_nationkey", "latex", "symbols", _Explains)
+
+
+register("explained_symbols", explained_symbols, "SELECT n_nationkey, 'k_' || n_nationkey AS symbol, 'size' AS meaning, 'm' AS unit FROM nation WHERE n_nationkey % 2 = 0")
+
+
+def audited_units(spark: SparkSession, sf: str) -> DataFrame:
+    p = read(spark, sf, "part").select(F.col("p_type").alias("g"), F.col("p_partkey").alias("id"), F.col("p_brand").alias("lithology"), "p_size")
+    last = p.groupBy("g").agg(F.max("p_size").alias("m"))
+    audit = p.join(last, "g").where("m < 50 OR p_size < 50").select("g", "id", F.lit("audited").alias("lithology"))
+    return B.audited(p.drop("p_size"), audit, "g", "id", "lithology")
+
+
+register("audited_units", audited_units, """
+WITH m AS (SELECT p_type, max(p_size) < 50 AS ok FROM part GROUP BY 1)
+SELECT p_type AS g, p_partkey AS id, CASE WHEN ok THEN 'audited' ELSE p_brand END AS lithology, ok AS accepted FROM part JOIN m USING (p_type)
+""")
+
+
+def table_tasks(spark: SparkSession, sf: str) -> DataFrame:
+    e = read(spark, sf, "events").select("event_id", F.when(F.col("event_type") == "view", "table").otherwise("image").alias("kind"))
+    return B.table_only(e, "kind", "table_embedded_hybrid").select("event_id", "code", "status")
+
+
+register("table_tasks", table_tasks, """
+SELECT event_id, CASE WHEN event_type = 'view' THEN 'table_embedded_hybrid' END AS code, CASE WHEN event_type = 'view' THEN 'pending' ELSE 'skipped_kind' END AS status FROM events
+""")
+
+
+def formula_graph(spark: SparkSession, sf: str) -> DataFrame:
+    f = read(spark, sf, "customer").select("c_custkey", F.concat(F.lit("E_"), F.col("c_nationkey").cast("string"), F.lit(" = m c")).alias("latex"))
+    nodes, edges = B.formula_records(f, "c_custkey", "latex")
+    named = nodes.where("type = 'Symbol'").select(F.col("id").alias("target"), "name")
+    return edges.join(named, "target").groupBy("name").agg(F.count("*").alias("n"))
+
+
+register("formula_graph", formula_graph, "SELECT 'E_' || c_nationkey AS name, count(*) AS n FROM customer GROUP BY 1 UNION ALL SELECT s, (SELECT count(*) FROM customer) FROM (VALUES ('m'), ('c')) v(s)")
+
+
+def chunk_graph_rows(spark: SparkSession, sf: str) -> DataFrame:
+    o, li, c = read(spark, sf, "orders"), read(spark, sf, "lineitem"), read(spark, sf, "customer")
+    parts = {"entity": c.select(F.col("c_custkey").alias("k"), F.col("c_name").alias("id")), "relation": o.select(F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("id")), "event": li.select(F.col("l_suppkey").alias("k"), F.col("l_orderkey").alias("id"))}
+    rows = B.graph_rows(parts, F.lit("d"), F.col("k"), "text", "stage_04")
+    return rows.groupBy("chunk_id", "kind", "modality").agg(F.count("*").alias("n"))
+
+
+register("chunk_graph_rows", chunk_graph_rows, """
+SELECT c_custkey AS chunk_id, 'entity' AS kind, 'text' AS modality, count(*) AS n FROM customer GROUP BY 1 UNION ALL SELECT o_custkey, 'relation', 'text', count(*) FROM orders GROUP BY 1 UNION ALL SELECT l_suppkey, 'event', 'text', count(*) FROM lineitem GROUP BY 1
+""")
+
+
+def stamped_rows(spark: SparkSession, sf: str) -> DataFrame:
+    out = I.stamped(read(spark, sf, "embeddings").select("vec_id"))
+    return out.select("vec_id", (F.col("updated_at") > F.lit("2020-01-01").cast("timestamp")).alias("stamped"))
+
+
+register("stamped_rows", stamped_rows, "SELECT vec_id, true AS stamped FROM embeddings")

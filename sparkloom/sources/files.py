@@ -220,3 +220,8 @@ def poll_states(tasks: DataFrame, batch: str, state: str) -> DataFrame:
     s = F.lower(F.trim(state))
     out = tasks.groupBy(batch).agg(F.count_if(s == "done").alias("done"), F.count_if(s == "failed").alias("failed"), F.count_if(~s.isin("done", "failed")).alias("open"))
     return out.withColumn("finished", F.col("open") == 0)
+
+
+def stamped(df: DataFrame, column: str = "updated_at") -> DataFrame:
+    """df with the time at which the query that writes it began."""
+    return df.withColumn(column, F.current_timestamp())

@@ -51,13 +51,15 @@ def tiles(a: DataFrame, b: DataFrame, a_key: str, b_key: str, most: int | None =
 def shared_token_pairs(a: DataFrame, a_key: str, b: DataFrame, b_key: str, tokens: str, at_least: float) -> DataFrame:
     """Pairs of different tables that share a token, with the Jaccard similarity of their token sets.
 
-    An inverted join on equal tokens: only pairs that share one arise, and their counts are combined map-side.
+    An inverted join on equal tokens: only pairs that share one arise, and their counts are combined map-side. Sets of
+    which one is so much larger that even all of the smaller would be too little are not paired.
     """
     x = a.select(a_key, F.array_distinct(tokens).alias("_t"))
     y = b.select(b_key, F.array_distinct(tokens).alias("_t"))
     xs = x.select(a_key, F.size("_t").alias("_na"), F.explode("_t").alias("_tok"))
     ys = y.select(b_key, F.size("_t").alias("_nb"), F.explode("_t").alias("_tok"))
-    both = xs.join(ys, "_tok").groupBy(a_key, b_key, "_na", "_nb").agg(F.count("*").alias("_k"))
+    alike = F.least("_na", "_nb") >= at_least * F.greatest("_na", "_nb") - 1e-9
+    both = xs.join(ys, "_tok").where(alike).groupBy(a_key, b_key, "_na", "_nb").agg(F.count("*").alias("_k"))
     return both.withColumn("jaccard", F.col("_k") / (F.col("_na") + F.col("_nb") - F.col("_k"))).where(F.col("jaccard") >= at_least)
 
 

@@ -1,5 +1,7 @@
 """Golden cases of the operators, on small frames."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -31,6 +33,31 @@ def test_pack_paragraphs(spark):
         C.pack_paragraphs(F.lit("x"), 0)
 
 
+def test_pack_paragraphs_of_long_texts(spark):
+    rng = random.Random(1)
+    texts = ["\n".join("w" * rng.randrange(300) for _ in range(n)) for n in (1, 2, 3, 8, 50, 333, 1000)]
+    for most in (1, 90, 500):
+        got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", C.pack_paragraphs(F.col("t"), most).alias("c")).collect()
+        for r in got:
+            want = []
+            for line in filter(None, r.t.split("\n")):
+                if want and len(want[-1]) + 1 + len(line) <= most:
+                    want[-1] += "\n" + line
+                else:
+                    want.append(line)
+            assert r.c == want
+
+
+def test_shared_token_pairs(spark):
+    rng = random.Random(2)
+    sets = [[rng.choice("abcdefghijkl") for _ in range(rng.randrange(12))] for _ in range(60)]
+    frame = lambda name, part: spark.createDataFrame(list(enumerate(part)), f"{name} long, t array<string>")
+    for least in (0.1, 0.5, 1.0):
+        got = {(r.a, r.b) for r in J.shared_token_pairs(frame("a", sets[:20]), "a", frame("b", sets[20:]), "b", "t", least).collect()}
+        pairs = [(i, j, set(x), set(y)) for i, x in enumerate(sets[:20]) for j, y in enumerate(sets[20:])]
+        assert got == {(i, j) for i, j, x, y in pairs if x & y and len(x & y) / len(x | y) >= least}
+
+
 def test_stable_ids_and_falsy_parts(spark):
     got = one(spark, a=S.stable_id("ent", F.lit(" A "), F.lit("b")), b=S.stable_id("ent", F.lit("a"), F.lit("B　")), c=S.stable_id("x", S.falsy_to_empty(F.lit(0))), d=S.stable_id("x", F.lit("")))
     assert got["a"] == got["b"] and got["c"] == got["d"] and len(got["a"]) == 24

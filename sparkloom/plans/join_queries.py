@@ -253,7 +253,18 @@ def monotone_run(spark: SparkSession, sf: str) -> DataFrame:
     return A.longest_monotone(e, ["user_id"], "pos", "value").groupBy("user_id").agg(F.count("*").alias("n"))
 
 
-register("monotone_run", monotone_run)
+# Round n + 1 finds the events that some earlier event of a lower value, itself the end of a run of n, comes before.
+register("monotone_run", monotone_run, """
+WITH RECURSIVE e AS MATERIALIZED (SELECT user_id, event_id, value FROM events WHERE value IS NOT NULL), run AS (
+  SELECT user_id, event_id, value, 1 AS n FROM e
+  UNION ALL
+  SELECT user_id, event_id, value, n + 1 FROM (
+    SELECT e.user_id, e.event_id, e.value, max(r.n) OVER () AS n,
+      min(r.value) OVER (PARTITION BY e.user_id ORDER BY e.event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS low
+    FROM e LEFT JOIN run r ON r.user_id = e.user_id AND r.event_id = e.event_id)
+  WHERE low < value)
+SELECT user_id, max(n)::BIGINT AS n FROM run GROUP BY user_id
+""")
 
 
 def nms_boxes(spark: SparkSession, sf: str) -> DataFrame:
@@ -263,7 +274,20 @@ def nms_boxes(spark: SparkSession, sf: str) -> DataFrame:
     return A.suppress_boxes(boxes, ["image"], "score", "box_id").select("image", "box_id")
 
 
-register("nms_boxes", nms_boxes)
+# Each round keeps the best box left in an image and drops the ones that it covers.
+register("nms_boxes", nms_boxes, """
+WITH RECURSIVE b AS (
+  SELECT l_orderkey // 100 AS image, l_orderkey * 10 + l_linenumber AS box_id, l_quantity::DOUBLE * 4 AS x, l_tax::DOUBLE * 1000 AS y, l_extendedprice AS score FROM lineitem
+), s AS (
+  SELECT *, row_number() OVER (PARTITION BY image ORDER BY score DESC, box_id) AS place, false AS kept FROM b
+  UNION ALL
+  SELECT image, box_id, x, y, score, place, place = best AS kept FROM (
+    SELECT *, first_value(place) OVER w AS best, least(x, first_value(x) OVER w) + 60 - greatest(x, first_value(x) OVER w) AS wide,
+      least(y, first_value(y) OVER w) + 40 - greatest(y, first_value(y) OVER w) AS high, 60 * least(y + 40 - y, first_value(y) OVER w + 40 - first_value(y) OVER w) AS area
+    FROM s WHERE NOT kept WINDOW w AS (PARTITION BY image ORDER BY place))
+  WHERE place = best OR NOT (wide > 0 AND high > 0 AND wide * high / area >= 0.65))
+SELECT image, box_id FROM s WHERE kept
+""")
 
 
 def fuzzy_match(spark: SparkSession, sf: str) -> DataFrame:

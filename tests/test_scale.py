@@ -1,7 +1,9 @@
 """Plans for tables that do not fit a broadcast, against the plain result; and assembled results on small cases."""
 
+import math
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,3 +99,46 @@ def test_longest_monotone_run_against_brute_force(spark, increases):
         measure = lambda c: (len(c), sign * (c[-1][1] - c[0][1]))
         found = sorted(got[g])
         assert tuple(found) in runs and measure(found) == max(map(measure, runs))
+
+
+@pytest.mark.parametrize("at_least", [-1.0, 0.55])
+def test_top_k_ranks_as_sql_does(spark, monkeypatch, at_least):
+    monkeypatch.setattr(G, "ITEM_VALUES", 150)
+    monkeypatch.setattr(G, "QUERY_VALUES", 60)
+    rng = random.Random(3)
+    base = [[rng.uniform(-1, 1) for _ in range(5)] for _ in range(40)]
+    vecs = list(enumerate(base + [[c * v for v in base[k % 4]] for k in range(60) for c in (1.0, 0.3, 7.0)]))
+    e = spark.createDataFrame(vecs, "id long, v array<float>")
+    found = G.top_k_similar(e.where("id % 10 = 0").select(F.col("id").alias("q"), F.col("v").alias("w")), "q", "w", e, "id", "v", 12, at_least)
+    assert "NestedLoop" not in found._jdf.queryExecution().toString()
+    con = duckdb.connect()
+    con.execute("create table e (id bigint, v float[])")
+    con.executemany("insert into e values (?, ?)", vecs)
+    sql = """WITH s AS (SELECT q.id AS q, i.id, list_cosine_similarity(q.v::double[], i.v::double[]) AS score FROM e q, e i WHERE q.id % 10 = 0),
+        r AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, id) AS rank FROM s WHERE score >= ?) SELECT q, id, rank, score FROM r WHERE rank <= 12"""
+    assert sorted((r.q, r.id, r["rank"], r.score) for r in found.collect()) == sorted(con.execute(sql, [at_least]).fetchall())
+
+
+def test_top_k_of_odd_vectors_against_all_pairs(spark, monkeypatch):
+    from sparkloom.functions.scalars import cosine
+
+    monkeypatch.setattr(G, "ITEM_VALUES", 30)
+    vecs = [[1.0, 0.0], [0.0, 0.0], None, [], [1.0, None], [1.0, 2.0, 3.0], [math.nan, 1.0], [-1.0, 0.0], [1e-180, 1e-180], [2.0, 1.0], [1.0, 0.0], [0.0, 1.0]] * 3
+    e = spark.createDataFrame([(f"k{i}", v) for i, v in enumerate(vecs)], "id string, v array<double>")
+    q = e.select(F.col("id").alias("q"), F.col("v").alias("w"))
+    for k, at_least in ((2, -1.0), (40, -1.0), (5, 0.0), (5, 0.1)):
+        got = G.top_k_similar(q, "q", "w", e, "id", "v", k, at_least).collect()
+        zero = lambda v: F.aggregate(v, F.lit(0.0), lambda a, b: a + b * b) == 0
+        score = F.when(zero("w") | zero("v"), 0.0).otherwise(cosine("w", "v"))  # against NaN too
+        pairs = q.crossJoin(e).select("q", "id", score.alias("score")).where(F.col("score") >= at_least).collect()
+        want = []
+        for key in {r.q for r in pairs}:
+            best = sorted((r for r in pairs if r.q == key), key=lambda r: (-math.inf if math.isnan(r.score) else -round(r.score, 12), r.id))[:k]
+            want += [(key, r.id, n + 1, str(round(r.score + 0.0, 9))) for n, r in enumerate(best)]
+        assert sorted((r.q, r.id, r["rank"], str(round(r.score, 9))) for r in got) == sorted(want)
+
+
+def test_top_k_of_empty_tables(spark):
+    e = spark.createDataFrame([(1, [1.0])], "id long, v array<double>")
+    q = e.select(F.col("id").alias("q"), F.col("v").alias("w"))
+    assert not G.top_k_similar(q.limit(0), "q", "w", e, "id", "v", 3, -1.0).collect() and not G.top_k_similar(q, "q", "w", e.limit(0), "id", "v", 3, -1.0).collect()

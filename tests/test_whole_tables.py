@@ -7,7 +7,8 @@ from collections import defaultdict
 import duckdb
 import pytest
 
-from sparkloom.plans.join_queries import monotone_run, nms_boxes
+from sparkloom.plans.join_queries import cosine_topk, monotone_run, nms_boxes
+from sparkloom.plans.registry import ORACLE
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -40,3 +41,20 @@ def test_monotone_run_reads_every_user(spark, tmp_path):
             best.append((1 + max((n for n, w in best if w < v), default=0), v))
         want[u] = max(n for n, _ in best)
     assert {r.user_id: r.n for r in monotone_run(spark, str(tmp_path)).collect()} == want
+
+
+def against_sql(name, query, spark, folder, table):
+    """The query's rows and those of its SQL, over the one table in folder."""
+    df = query(spark, str(folder))
+    con = duckdb.connect()
+    con.execute(f"create view {table} as select * from '{folder}/{table}.parquet/*.parquet'")
+    return sorted(map(tuple, df.collect())), sorted(con.execute(f"select {', '.join(df.columns)} from ({ORACLE[name]})").fetchall())
+
+
+def test_cosine_topk_of_vectors_that_are_multiples(spark, tmp_path):
+    rng = random.Random(5)
+    base = [[rng.uniform(-1, 1) for _ in range(8)] for _ in range(5)]
+    rows = [(i, [(1 + i // 5) * v for v in base[i % 5]], 0) for i in range(400)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got, want = against_sql("cosine_topk", cosine_topk, spark, tmp_path, "embeddings")
+    assert got == want and len(got) == 240

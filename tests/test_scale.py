@@ -142,3 +142,27 @@ def test_top_k_of_empty_tables(spark):
     e = spark.createDataFrame([(1, [1.0])], "id long, v array<double>")
     q = e.select(F.col("id").alias("q"), F.col("v").alias("w"))
     assert not G.top_k_similar(q.limit(0), "q", "w", e, "id", "v", 3, -1.0).collect() and not G.top_k_similar(q, "q", "w", e.limit(0), "id", "v", 3, -1.0).collect()
+
+
+@pytest.mark.parametrize("at_least", [0.62, 0.0, 0.9])
+def test_fuzzy_best_against_all_pairs(spark, at_least):
+    rng = random.Random(4)
+    words = ["Bed", "bed ", "İx", "sand", "sandy", "Silt\u00a0", "SILT", "the unit", "x unit", "unit", "grey bed", "gray bed", "", None, "\U0001f600abc", "abc"]
+    items = [(rng.randrange(4), i % 70, rng.choice(words)) for i in range(90)]
+    cells = [(rng.randrange(5), f"c{rng.randrange(900)}", rng.choice(words)) for _ in range(90)] + [(1, None, "unit")]
+    got = J.fuzzy_best(spark.createDataFrame(items, "g int, item int, t string"), spark.createDataFrame(cells, "g int, cell string, u string"), ["g"], "item", "t", "cell", "u", at_least)
+    want = {}
+    for g, item, t in items:
+        for h, cell, u in cells:
+            score = J.similarity(t, u)
+            if g == h and score >= at_least:
+                want[g, item] = min(want.get((g, item), (9, "z", "z")), (-score, cell is not None, cell or ""))
+    assert sorted((r.g, r.item, r.cell or "", r.score) for r in got.collect()) == sorted((*k, v[2], -v[0]) for k, v in want.items())
+
+
+def test_fuzzy_best_compares_each_text_once(spark):
+    """40,000 rows of five names in a group would be 400 million pairs."""
+    rows = spark.range(40_000).select(F.lit(1).alias("g"), F.col("id"), F.concat(F.lit("name "), (F.col("id") % 5).cast("string")).alias("t"))
+    cells = rows.select("g", F.col("id").alias("cell"), F.concat(F.lit("same "), F.col("t"), F.lit(".")).alias("u"))
+    found = J.fuzzy_best(rows, cells, ["g"], "id", "t", "cell", "u")
+    assert found.where("cell = id % 5 AND score = 0.9").count() == 40_000

@@ -166,3 +166,30 @@ def test_fuzzy_best_compares_each_text_once(spark):
     cells = rows.select("g", F.col("id").alias("cell"), F.concat(F.lit("same "), F.col("t"), F.lit(".")).alias("u"))
     found = J.fuzzy_best(rows, cells, ["g"], "id", "t", "cell", "u")
     assert found.where("cell = id % 5 AND score = 0.9").count() == 40_000
+
+
+@pytest.mark.parametrize("block", [10_000, 7])
+def test_smallest_covering_against_all_pairs(spark, monkeypatch, block):
+    monkeypatch.setattr(J, "BLOCK", block)
+    rng = random.Random(6)
+    some = lambda: float(rng.randrange(12))
+    items = [(rng.randrange(3), i % 110, some(), some()) for i in range(120)] + [(0, 200, None, 1.0), (1, 201, math.nan, 2.0), (2, 202, -0.0, 0.0), (None, 203, 1.0, 1.0)]
+    boxes = [(rng.randrange(4), f"b{rng.randrange(1000)}", [a, b, a + some(), b + some()]) for a, b in ((some() - 1, some() - 1) for _ in range(90))]
+    boxes += [(1, "n", [0.0, 0.0, math.nan, 5.0]), (2, "z", [0.0, 0.0, 0.0, 0.0]), (2, "y", [0.0, 0.0, 0.0, 0.0]), (0, "o", [None, 0.0, 9.0, 9.0]), (0, None, [0.0, 0.0, 3.0, 3.0]), (None, "q", [0.0, 0.0, 9.0, 9.0]), (0, "no", None)]
+    got = J.smallest_covering(spark.createDataFrame(items, "g int, item int, x double, y double"), spark.createDataFrame(boxes, "g int, box_id string, box array<double>"), ["g"], "item", "x", "y", "box", "box_id")
+    up = lambda v: (math.isnan(v), 0.0 if math.isnan(v) else v)
+    want = {}
+    for g, item, x, y in items:
+        for h, key, box in boxes:
+            if g is not None and g == h and x is not None and box and None not in box and up(box[0]) <= up(x) <= up(box[2]) and up(box[1]) <= up(y) <= up(box[3]):
+                best = (up((box[2] - box[0]) * (box[3] - box[1])), key is not None, key or "")
+                want[g, item] = min(want.get((g, item), (up(math.nan), True, "zz")), best)
+    assert sorted((r.g, r.item, r.box_id or "") for r in got.collect()) == sorted((*k, v[2]) for k, v in want.items())
+
+
+def test_smallest_covering_takes_equal_points_once(spark):
+    """40,000 points and boxes of six kinds in one image would be 1,600 million pairs."""
+    rows = spark.range(40_000).select(F.lit(1).alias("g"), F.col("id"), (F.col("id") % 6).cast("double").alias("x"))
+    boxes = rows.select("g", F.col("id").alias("box_id"), F.array(F.lit(0.0), F.lit(0.0), "x", "x").alias("box"))
+    found = J.smallest_covering(rows.withColumn("y", F.col("x")), boxes, ["g"], "id", "x", "y", "box", "box_id")
+    assert found.where("box_id = id % 6").count() == 40_000

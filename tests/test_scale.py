@@ -193,3 +193,25 @@ def test_smallest_covering_takes_equal_points_once(spark):
     boxes = rows.select("g", F.col("id").alias("box_id"), F.array(F.lit(0.0), F.lit(0.0), "x", "x").alias("box"))
     found = J.smallest_covering(rows.withColumn("y", F.col("x")), boxes, ["g"], "id", "x", "y", "box", "box_id")
     assert found.where("box_id = id % 6").count() == 40_000
+
+
+def test_boundaries_of_papers_against_a_plain_reading(spark):
+    import re
+
+    rng = random.Random(7)
+    kinds = ["# Title", "## Part", "#### Deep", "## References", "# 参考文献", "Abstract: x", "key words: y", "text", "", "   ### In", "    ## code"]
+    texts = ["\n".join(rng.choice(kinds) for _ in range(rng.randint(1, 9))) for _ in range(300)] + ["## References\n# A\n## B", "", None]
+    lines = L.explode_lines(spark.createDataFrame(list(enumerate(texts)), "id int, text string"), "id", "text")
+    found = L.boundaries(lines, "id")
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+    heading = re.compile(L.HEADING)
+    want = []
+    for i, text in enumerate(texts):
+        if text is None:
+            continue
+        rows = list(enumerate(text.split("\n")))
+        ref = min((p for p, x in rows if heading.match(x) and re.search(L.REFERENCE_WORDS, x)), default=None)
+        first = min((p for p, x in rows if re.match(r"\s{0,3}#{2,6}\s+", x) and (ref is None or p < ref)), default=None)
+        ends = [p for p, x in rows if (heading.match(x) or re.match(r"(?i)\s*(abstract|keywords?|key words|摘要|关键词)", x)) and (first is None or p < first)]
+        want.append((i, ref, first, max(ends, default=None)))
+    assert sorted(map(tuple, found.collect())) == want

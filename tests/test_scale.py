@@ -4,6 +4,7 @@ import math
 import random
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -138,6 +139,46 @@ def test_top_k_of_odd_vectors_against_all_pairs(spark, monkeypatch):
         assert sorted((r.q, r.id, r["rank"], str(round(r.score, 9))) for r in got) == sorted(want)
 
 
+def best_of_block(queries, items, k, at_least):
+    table = lambda name, vectors: pa.table({name: pa.array(vectors, pa.list_(pa.float64()))})
+    return list(zip(*(c.tolist() for c in G._best_of_block(table("_q", queries), table("_i", items), k, at_least))))
+
+
+def cosine_in_order(q, v):
+    dot, a, b = 0.0, 0.0, 0.0
+    for x, y in zip(q, v):
+        dot, a, b = dot + x * y, a + x * x, b + y * y
+    return min(1.0, max(-1.0, dot / math.sqrt(a * b)))
+
+
+@pytest.mark.parametrize("pairs", [8, 1 << 20])
+def test_top_k_in_small_tiles_and_closer_than_single_precision(monkeypatch, pairs):
+    monkeypatch.setattr(G, "TILE", (3, 7))
+    monkeypatch.setattr(G, "PAIRS", pairs)
+    rng = random.Random(6)
+    base = [[rng.uniform(-1, 1) for _ in range(6)] for _ in range(30)]
+    base += [[v + rng.uniform(-1e-9, 1e-9) for v in base[n % 3]] for n in range(60)]  # too close for single precision
+    items = [rng.choice(base) for _ in range(200)] + [[3.0 * v for v in base[0]]] * 4
+    queries = [rng.choice(base) for _ in range(20)]
+    for k, at_least in ((12, -1.0), (3, 0.55), (300, 0.2)):
+        want = []
+        for a, q in enumerate(queries):
+            best = sorted((-s, b) for b, v in enumerate(items) if (s := cosine_in_order(q, v)) >= at_least)[:k]
+            want += [(a, b, -s) for s, b in best]
+        assert best_of_block(queries, items, k, at_least) == want
+
+
+def test_top_k_scores_a_very_common_vector_once(monkeypatch):
+    scored, cosines = [], G._cosines
+    monkeypatch.setattr(G, "_cosines", lambda *a: scored.append(len(out := cosines(*a))) or out)
+    rng = random.Random(7)
+    items = [[rng.uniform(-1, 1) for _ in range(4)] for _ in range(1000)]
+    items[::2] = [items[0]] * 500
+    found = best_of_block(items[::10], items, 5, -1.0)
+    assert len(found) == 500 and [b for a, b, _ in found if a == 50] == [0, 2, 4, 6, 8]
+    assert sum(scored) <= 20 * 100  # 50,000 pairs of equal vectors
+
+
 def test_top_k_of_empty_tables(spark):
     e = spark.createDataFrame([(1, [1.0])], "id long, v array<double>")
     q = e.select(F.col("id").alias("q"), F.col("v").alias("w"))
